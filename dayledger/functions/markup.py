@@ -36,11 +36,15 @@ def until(*stops: str) -> str:
     return rf"[^<]*+(?:<(?!(?i:{'|'.join(stops)}))[^<]*+)*+"
 
 
-def balanced(name: str, depth: int) -> str:
-    """Content up to the first unmatched close of ``name``; nests up to ``depth``."""
+def balanced(name: str, depth: int, stop: str = "") -> str:
+    """Content up to the first unmatched close of ``name``; nests up to ``depth``.
+
+    ``stop`` is a condition on opening tags at the outermost level that end it too.
+    """
     content = until(rf"/?{name}\b")
-    for _ in range(depth):
-        inner = open_tag(name) + content + close_tag(name)
+    for level in range(depth, 0, -1):
+        refused = f"(?!{stop})" if stop and level == 1 else ""
+        inner = open_tag(name, refused) + content + close_tag(name)
         content = rf"[^<]*+(?:(?:{inner}|<(?!(?i:/?{name}\b)))[^<]*+)*+"
     return content
 
@@ -68,10 +72,14 @@ def cell_texts(table: Column) -> Column:
     )
 
 
+def without_first(items: Column) -> Column:
+    """The list without its first item; the length is only an upper bound."""
+    return F.slice(items, 2, 1_000_000_000)
+
+
 def body_rows(table: Column) -> Column:
     """The same without the heading row."""
-    rows = cell_texts(table)
-    return F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
+    return without_first(cell_texts(table))
 
 
 def anchors_targets(html: Column) -> Column:

@@ -16,9 +16,13 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WS = "[" + BLANKS + "]"
-# White space that does not end a line.
-HWS = "[" + BLANKS.replace("\n", "") + "]"
+# As a class: single Latin-1 characters are one table look-up, the rest are few ranges.
+_LATIN_BLANKS = "".join(c for c in BLANKS if c < "\u0100")
+_OTHER_BLANKS = "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = f"[{_LATIN_BLANKS}{_OTHER_BLANKS}]"
+# White space that does not end a line, and the same without the plain space.
+HWS = WS.replace("\n", "")
+_ODD_HWS = HWS.replace(" ", "")
 
 # A tag opens with a letter, "/", "!" or "?"; a lone "<" in running text is no tag.
 TAG = r"</?[A-Za-z!?][^>]*+>"
@@ -35,7 +39,13 @@ def strip(text: Column) -> Column:
 
 def normalize_whitespace(text: Column) -> Column:
     """Turn every run of white space, non-breaking included, into one space."""
-    return F.trim(F.regexp_replace(text, WS + "++", " "))
+    return F.trim(F.regexp_replace(text, f" {WS}++|[\n{_ODD_HWS[1:-1]}]{WS}*+", " "))
+
+
+def single_spaces(text: Column) -> Column:
+    """Every run of blanks inside a line to one space; line ends stay. Runs that are one
+    space already are no match, which saves most of the work."""
+    return F.regexp_replace(text, f" {HWS}++|{_ODD_HWS}{HWS}*+", " ")
 
 
 def blank_to_null(text: Column) -> Column:
@@ -93,27 +103,35 @@ def decode_entities(text: Column) -> Column:
     """Decode every character reference except the four that would look like markup.
 
     ``&lt; &gt; &quot; &amp;`` stay until the tags are gone, see ``unescape_markup``.
+    One pass per distinct reference, longest first so that none is cut by a shorter one.
     """
-    spaced = F.replace(text, F.lit("&nbsp;"), F.lit("\xa0"))
-    pieces = F.split(F.regexp_replace(spaced, f"({_ENTITY})", "\x00$1\x00"), "\x00")
-    decoded = F.array_join(
-        F.transform(pieces, lambda p: F.when(p.startswith("&"), _decode_one(p)).otherwise(p)), ""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)))
+    longest_first = F.reverse(F.array_sort(F.transform(found, lambda e: F.struct(F.length(e).alias("n"), e.alias("e")))))
+    decoded = F.aggregate(
+        F.transform(longest_first, lambda pair: pair["e"]),
+        text,
+        lambda done, e: F.replace(done, e, _decode_one(e)),
     )
-    return F.when(spaced.rlike(_FOREIGN_ENTITY), decoded).otherwise(spaced)
+    return F.when(text.rlike(_FOREIGN_ENTITY), decoded).otherwise(text)
 
 
 def unescape_markup(text: Column) -> Column:
     """Last decoding step, after tags are removed. The ampersand goes last."""
-    result = text
     for entity, char in _MARKUP_CHARS.items():
-        result = F.replace(result, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&"), result).otherwise(text)
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def visible_markup(html: Column) -> Column:
+    """Drop comments, scripts and styles; make non-breaking blanks real."""
+    hidden = r"(?s)<(?:!--.*?-->|((?i:script|style))\b[^>]*+>.*?</(?i:\1)\s*+>)"
+    return F.replace(F.regexp_replace(html, hidden, ""), F.lit("&nbsp;"), F.lit("\xa0"))
 
 
 def prepare_html(html: Column) -> Column:
-    """Drop comments, scripts and styles, decode entities that cannot be markup."""
-    hidden = r"(?is)<!--.*?-->|<(script|style)\b[^>]*+>.*?</\1\s*+>"
-    return decode_entities(F.regexp_replace(html, hidden, ""))
+    """``visible_markup`` with the entities decoded that cannot be markup. In a plan give
+    the two steps a column each, so that the first is not run again for every use."""
+    return decode_entities(visible_markup(html))
 
 
 def spaced_text(html: Column, separator: str) -> Column:
@@ -123,7 +141,7 @@ def spaced_text(html: Column, separator: str) -> Column:
 
 def joined_text(html: Column) -> Column:
     """Text of a prepared fragment, every piece stripped, pieces put together."""
-    tag_and_blanks = f"(?:(?<!{WS}){WS}++)?+{TAG}{WS}*+"
+    tag_and_blanks = f"{TAG}{WS}*+|{WS}(?<!{WS}{WS}){WS}*+{TAG}{WS}*+"
     return unescape_markup(strip(F.regexp_replace(html, tag_and_blanks, "")))
 
 
@@ -134,6 +152,7 @@ def visible_text(html: Column) -> Column:
 
 def clean_lines(html: Column) -> Column:
     """Line breaks from ``<br>``, each line stripped, blank lines at both ends dropped."""
-    broken = F.regexp_replace(html, r"(?i)<br\b[^>]*+>", "\n")
+    broken = F.regexp_replace(html, r"<(?i:br)\b[^>]*+>", "\n")
     text = spaced_text(broken, "")
-    return strip(F.regexp_replace(text, f"(?:(?<!{HWS}){HWS}++)?+\n{HWS}*+", "\n"))
+    blanks_at_line_end = f"\n{HWS}++|{HWS}(?<!{HWS}{HWS}){HWS}*+\n{HWS}*+"
+    return strip(F.regexp_replace(text, blanks_at_line_end, "\n"))

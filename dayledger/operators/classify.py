@@ -4,7 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions.markup import attribute_starts, balanced, has_class, open_tag, until
-from dayledger.functions.text import joined_text, prepare_html, spaced_text, strip
+from dayledger.functions.text import (
+    decode_entities,
+    joined_text,
+    spaced_text,
+    strip,
+    visible_markup,
+)
 
 # The markers that tell the layouts apart, and the lengths in characters.
 EVENT_PREFIX = "en"
@@ -28,26 +34,36 @@ def pre_text(html: Column) -> Column:
     return F.replace(spaced_text(F.regexp_extract(html, _PRE, 1), ""), F.lit("\r\n"), F.lit("\n"))
 
 
-def layout(html: Column) -> Column:
-    """modern / legacy / plaintext / empty / unknown for HTML made by ``prepare_html``."""
-    strong = F.array_join(F.regexp_extract_all(html, F.lit(_STRONG), F.lit(1)), "<p>\x00<p>")
-    pre = pre_text(html)
-    return (
+def with_layout(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Add ``_html`` (prepared), ``_pre`` (text of the first preformatted block, only where
+    the earlier rules leave the layout open) and ``html_format``.
+
+    Each step is a column of its own, so that a page goes through it once.
+    """
+    page, kind, pre = F.col("_html"), F.col("_kind"), F.col("_pre")
+    strong = F.array_join(F.regexp_extract_all(page, F.lit(_STRONG), F.lit(1)), "<p>\x00<p>")
+    by_markup = (
         F.when(F.lower(joined_text(strong)).contains(NO_EVENTS), "empty")
-        .when(html.rlike(MODERN_EVENT), "modern")
-        .when(F.regexp_extract(html, _REPORT_DAY, 1).rlike(_GRID_BORDER), "modern")
-        .when(html.rlike(LEGACY_EVENT), "legacy")
-        .when(
-            html.rlike(open_tag("pre")) & F.substring(pre, 1, NUMBER_WITHIN).rlike(NUMBER_LABEL),
-            "plaintext",
-        )
-        .when(html.rlike(open_tag("pre")) & (F.length(strip(pre)) < SHORT_PRE), "empty")
-        .when(F.length(joined_text(html)) < SHORT_PAGE, "empty")
+        .when(page.rlike(MODERN_EVENT), "modern")
+        .when(F.regexp_extract(page, _REPORT_DAY, 1).rlike(_GRID_BORDER), "modern")
+        .when(page.rlike(LEGACY_EVENT), "legacy")
+    )
+    by_text = (
+        F.when(F.substring(pre, 1, NUMBER_WITHIN).rlike(NUMBER_LABEL), "plaintext")
+        .when(F.length(strip(pre)) < SHORT_PRE, "empty")
+        .when(F.length(joined_text(page)) < SHORT_PAGE, "empty")
         .otherwise("unknown")
     )
+    return (
+        pages.withColumn("_visible", visible_markup(F.col(html)))
+        .withColumn("_html", decode_entities(F.col("_visible")))
+        .withColumn("_kind", by_markup)
+        .withColumn("_pre", F.when(kind.isNull() & page.rlike(open_tag("pre")), pre_text(page)))
+        .withColumn("html_format", F.when(kind.isNotNull(), kind).otherwise(by_text))
+        .drop("_visible", "_kind")
+    )
 
 
 def detect_format(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add ``html_format`` to pages."""
-    prepared = pages.withColumn("_prepared", prepare_html(F.col(html)))
-    return prepared.withColumn("html_format", layout(F.col("_prepared"))).drop("_prepared")
+    """Add ``html_format``: modern / legacy / plaintext / empty / unknown."""
+    return with_layout(pages, html).drop("_html", "_pre")

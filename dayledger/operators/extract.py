@@ -1,14 +1,22 @@
-"""Pages to events: routing by layout, segmentation, field extraction."""
+"""Pages to events: routing by layout, segmentation, field extraction.
+
+A CASE on ``html_format`` picks the expressions of the page's own layout. So pages are
+scanned once, not once per layout, and nothing is shuffled. Every intermediate that is
+used more than once is a column, because inside a CASE branch the optimizer does not
+share common expressions.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.functions.category import event_category
-from dayledger.functions.text import prepare_html
+from dayledger.functions.lists import citations_in_lines, empty_list, persons, unit_statuses
+from dayledger.functions.markup import body_rows, without_first
+from dayledger.functions.text import clean_lines, normalize_whitespace
 from dayledger.operators import legacy, modern, plaintext
-from dayledger.operators.classify import layout
-from dayledger.operators.pieces import field_columns
-from dayledger.schemas import EVENT, EVENT_COLUMNS
+from dayledger.operators.classify import with_layout
+from dayledger.operators.pieces import field_columns, labels_of, values_of
+from dayledger.schemas import EVENT, EVENT_COLUMNS, UNIT_STATUS
 
 NO_NUMBER = "no event number"
 NO_TABLE = "no header table"
@@ -18,112 +26,138 @@ NO_ROWS = "header table has no rows"
 def _by_layout(if_modern=None, if_legacy=None, if_plaintext=None) -> Column:
     """CASE on the layout; only the branch of the row's own layout is evaluated."""
     branches = {"modern": if_modern, "legacy": if_legacy, "plaintext": if_plaintext}
-    chain = None
+    chain = F
     for name, value in branches.items():
         if value is not None:
-            condition = F.col("html_format") == name
-            chain = F.when(condition, value) if chain is None else chain.when(condition, value)
+            chain = chain.when(F.col("html_format") == name, value)
     return chain
 
 
 def segment(pages: DataFrame) -> DataFrame:
     """One row per event fragment; a page without any keeps one row with NULLs.
 
-    Input: ``url``, ``year``, ``html``. Every other input column is carried along.
+    Input: ``url``, ``year``, ``html``. Other input columns are carried along.
     """
-    html = F.col("_html")
-    carried = [c for c in pages.columns if c not in ("url", "html")]
-    prepared = pages.select(
-        F.col("url").alias("page_url"),
-        *[c for c in carried if c not in ("report_date", "html_format")],
-        prepare_html(F.col("html")).alias("_html"),
-    )
-    cut = prepared.withColumn("html_format", layout(html)).select(
-        "*",
-        _by_layout(modern.report_date(html), None, plaintext.report_date(html)).alias(
-            "report_date"
-        ),
-        _by_layout(
-            modern.fragments(html), legacy.fragments(html), plaintext.fragments(html)
-        ).alias("_fragments"),
+    replaced = ("url", "html", "report_date", "html_format")
+    carried = [c for c in pages.columns if c not in replaced]
+    page, pre = F.col("_html"), F.col("_pre")
+    routed = with_layout(pages.select(F.col("url").alias("page_url"), *carried, "html"))
+    cut = routed.select(
+        "page_url",
+        *carried,
+        "html_format",
+        _by_layout(modern.report_date(page), None, plaintext.report_date(pre)).alias("report_date"),
+        _by_layout(modern.cuts(page), legacy.cuts(page), plaintext.cuts(pre)).alias("_cuts"),
     )
-    return cut.drop("_html").select(
-        *[c for c in cut.columns if not c.startswith("_")],
-        F.posexplode_outer("_fragments").alias("event_pos", "fragment"),
+    return cut.select(
+        "page_url",
+        *carried,
+        "html_format",
+        "report_date",
+        F.posexplode_outer(without_first(F.col("_cuts"))).alias("event_pos", "fragment"),
     )
 
 
 def read_fragments(fragments: DataFrame) -> DataFrame:
     """Typed event columns for each fragment, plus ``event_ref`` and ``error``."""
-    f, head, tail, parts = (F.col(c) for c in ("fragment", "_head", "_tail", "_parts"))
-    base = fragments.columns
+    c = F.col
+    is_modern, is_legacy = c("html_format") == "modern", c("html_format") == "legacy"
+    fragment, head, tail, rows = c("fragment"), c("_head"), c("_tail"), c("_rows")
+    after_head = F.substr(fragment, F.length(head) + 1)
     cut = (
-        fragments.withColumn("_head", _by_layout(modern.head(f), legacy.head(f), plaintext.head(f)))
-        .withColumn(
-            "_tail",
-            _by_layout(modern.tail(f, head), legacy.tail(f, head), plaintext.tail(f, head)),
+        fragments.withColumn(
+            "_found", _by_layout(modern.head(fragment), legacy.head(fragment), plaintext.head(fragment))
         )
-        .withColumn("_parts", _by_layout(modern.parts(head), legacy.parts(head)))
+        # A modern container that is never closed reaches to the end of its fragment.
+        .withColumn("_head", F.when(is_modern & (c("_found") == ""), fragment).otherwise(c("_found")))
+        .withColumn("_tail", F.when(is_modern, modern.tail(after_head)).otherwise(after_head))
+        .withColumn("_rows", _by_layout(None, legacy.rows(head)))
+        .withColumn("_second", F.when(is_legacy, legacy.cells(rows, 1)))
+        .withColumn("_third", F.when(is_legacy, legacy.cells(rows, 2)))
+        .withColumn("_third_left", F.when(is_legacy, legacy.cell_lines(c("_third"), 0)))
         .withColumn(
             "event_ref",
-            _by_layout(modern.event_ref(f), legacy.event_ref(f), plaintext.event_ref(f)),
+            _by_layout(
+                modern.event_ref(fragment), legacy.event_ref(fragment), plaintext.event_ref(fragment)
+            ),
         )
+        .withColumn("event_number", F.regexp_extract("event_ref", r"\d+", 0).try_cast("bigint"))
         .withColumn(
-            "event_number", F.regexp_extract("event_ref", r"\d+", 0).try_cast("bigint")
+            "_heading",
+            _by_layout(
+                modern.category_text(head),
+                legacy.category_text(rows),
+                plaintext.category_text(fragment),
+            ),
+        )
+        .withColumn("category", event_category(c("_heading")))
+        .withColumn(
+            "error",
+            F.when(fragment.isNull(), None)
+            .when(c("event_number").isNull(), NO_NUMBER)
+            .when(is_legacy & (head == ""), NO_TABLE)
+            .when(is_legacy & (F.size(rows) == 0), NO_ROWS),
         )
         .withColumn(
-            "category",
-            event_category(
-                _by_layout(
-                    modern.category_text(head),
-                    legacy.category_text(parts),
-                    plaintext.category_text(f),
-                )
+            "_pair_text",
+            _by_layout(
+                modern.pair_text(head),
+                legacy.pair_text(c("_second"), c("_third_left")),
+                plaintext.pair_text(head),
             ),
         )
+        .withColumn("_all_labels", labels_of(c("_pair_text")))
+        .withColumn("_all_values", values_of(c("_pair_text")))
+        # Modern pages: blank values do not count. Without repeats a blank and a missing
+        # value give the same columns, only repeated labels need the slow form.
         .withColumn(
-            "error",
-            F.when(f.isNull(), None)
-            .when(F.col("event_number").isNull(), NO_NUMBER)
-            .when((F.col("html_format") == "legacy") & (head == ""), NO_TABLE)
-            .when((F.col("html_format") == "legacy") & ~legacy.has_rows(parts), NO_ROWS),
+            "_slow",
+            F.when(
+                is_modern & (F.size(F.array_distinct("_all_labels")) < F.size("_all_labels")),
+                modern.filled_pairs(c("_pair_text")),
+            ),
+        )
+        .withColumn(
+            "_labels",
+            F.reverse(F.coalesce(F.transform("_slow", lambda p: p["label"]), "_all_labels")),
         )
         .withColumn(
-            "_pairs", _by_layout(modern.pairs(parts), legacy.pairs(parts), plaintext.pairs(head))
+            "_values",
+            F.reverse(F.coalesce(F.transform("_slow", lambda p: p["value"]), "_all_values")),
         )
-        .withColumn("_reversed", F.reverse("_pairs"))
-        .withColumn("_labels", F.transform("_reversed", lambda p: F.trim(F.lower(p["label"]))))
-        .withColumn("_values", F.transform("_reversed", lambda p: p["value"]))
     )
-    is_reactor = F.col("category") == "Power Reactor"
-    read = cut.select(
-        *base,
+    is_reactor = c("category") == "Power Reactor"
+    citation_text = _by_layout(
+        normalize_whitespace(modern.citation_text(head)), legacy.citation_text(c("_third_left"))
+    )
+    person_text = _by_layout(modern.person_text(head), legacy.cell_lines(c("_third"), 1))
+    text_html = _by_layout(modern.text_html(tail), legacy.text_html(tail))
+    unit_table = _by_layout(modern.unit_table(tail), legacy.unit_table(tail))
+    in_pre = c("html_format") == "plaintext"
+    lists = {
+        "cfr_sections": F.when(in_pre, plaintext.cfr_sections(head)).otherwise(
+            citations_in_lines(citation_text)
+        ),
+        "persons_notified": F.when(in_pre, plaintext.persons_notified(head)).otherwise(
+            persons(person_text)
+        ),
+        "reactor_units": F.when(in_pre, plaintext.reactor_units(head))
+        .when(is_reactor, unit_statuses(body_rows(unit_table)))
+        .otherwise(empty_list(UNIT_STATUS)),
+        "parse_warnings": _by_layout(modern.warnings(c("_pair_text"), c("_labels"))),
+    }
+    return cut.select(
+        *[name for name in fragments.columns if name != "fragment"],
         "event_ref",
         "event_number",
         "category",
         "error",
-        *[c.alias(n) for n, c in field_columns(F.col("_labels"), F.col("_values")).items()],
-        _by_layout(
-            modern.cfr_sections(parts), legacy.cfr_sections(parts), plaintext.cfr_sections(head)
-        ).alias("cfr_sections"),
-        _by_layout(
-            modern.persons_notified(parts),
-            legacy.persons_notified(parts),
-            plaintext.persons_notified(head),
-        ).alias("persons_notified"),
-        _by_layout(
-            modern.event_text(tail), legacy.event_text(tail), plaintext.event_text(tail)
-        ).alias("event_text"),
-        _by_layout(
-            modern.reactor_units(tail, is_reactor),
-            legacy.reactor_units(tail, is_reactor),
-            plaintext.reactor_units(head),
-        ).alias("reactor_units"),
-        _by_layout(modern.warnings(F.col("_pairs"))).alias("parse_warnings"),
-    )
-    lists = ("cfr_sections", "persons_notified", "reactor_units", "parse_warnings")
-    return read.drop("fragment").withColumns(
-        {name: F.coalesce(name, F.array().cast(EVENT[name].dataType)) for name in lists}
+        *[value.alias(name) for name, value in field_columns(c("_labels"), c("_values")).items()],
+        F.when(in_pre, plaintext.event_text(tail)).otherwise(clean_lines(text_html)).alias("event_text"),
+        *[
+            F.coalesce(value, F.array().cast(EVENT[name].dataType)).alias(name)
+            for name, value in lists.items()
+        ],
     )
 
 

@@ -3,37 +3,28 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dayledger.functions.lists import citations, empty_list, persons, unit_statuses
-from dayledger.functions.markup import (
-    CELL,
-    TABLE,
-    body_rows,
-    open_tag,
-    row_cells,
-    table_rows,
-    until,
-)
-from dayledger.functions.text import clean_lines, joined_text, normalize_whitespace, spaced_text
+from dayledger.functions.markup import CELL, TABLE, open_tag, row_cells, table_rows, until
+from dayledger.functions.text import joined_text, spaced_text
 from dayledger.operators.classify import LEGACY_EVENT
 from dayledger.operators.pieces import (
     DATE_LABELS,
     EMERGENCY_LABEL,
-    PAIRS,
-    after_first,
-    colon_pairs,
+    colons_to_separators,
+    tidy_lines,
 )
-from dayledger.schemas import CITATION, UNIT_STATUS
 
-_NEXT_TABLE = r"^<(?:[^<]++|<(?i:br\b|/?a\b))*+(" + TABLE + ")"
+_TO_TABLE = r"^<(?:[^<]++|<(?i:br\b|/?a\b))*+" + TABLE
 _TEXT_HEADING = open_tag("p") + until(r"/?p\b", r"b\b") + open_tag("b") + "[^<]*Event Text"
 _TEXT_CELL = _TEXT_HEADING + "(?s:.*?)" + open_tag("table") + until(r"t[dh]\b", r"/table\b") + CELL
 _WIDE_TABLE = r"""^[^>]*\s(?i:width)\s*+=\s*+["']?98"""
 _STATE_ON_LINE = r"(?m)^([^\S\n]*+(?i:region|city)[^\S\n]*+:[^\n]*?)State:"
+_DATE_LINE = r"(?im)^ ?(?:" + "|".join(DATE_LABELS) + r") ?:[^\n]*+"
+_EMERGENCY_LINE = rf"(?im)^ ?{EMERGENCY_LABEL}[^:\n]*+:?"
+_EMERGENCY_FIELD = rf"(?im)^ ?{EMERGENCY_LABEL} ?:[^\n]*+"
 
 
-def fragments(html: Column) -> Column:
-    cuts = F.split(html, f"(?={LEGACY_EVENT})")
-    return F.slice(cuts, F.lit(2), F.size(cuts))
+def cuts(page: Column) -> Column:
+    return F.split(F.concat(F.lit("\n"), page), f"(?={LEGACY_EVENT})")
 
 
 def event_ref(fragment: Column) -> Column:
@@ -41,96 +32,63 @@ def event_ref(fragment: Column) -> Column:
 
 
 def head(fragment: Column) -> Column:
-    """The header table; '' when another element stands before it."""
-    return F.regexp_extract(fragment, _NEXT_TABLE, 1)
-
+    """Anchor to end of the header table; '' when another element stands between."""
+    return F.regexp_extract(fragment, _TO_TABLE, 0)
 
-def tail(fragment: Column, header: Column) -> Column:
-    return after_first(fragment, F.regexp_extract(fragment, _NEXT_TABLE, 0))
 
+def rows(header: Column) -> Column:
+    return table_rows(header)
 
-def parts(header: Column) -> Column:
-    """Cells by place: category, fields, dates, citations, persons, and the row count."""
-    rows = table_rows(header)
-    first, second, third = (row_cells(F.get(rows, F.lit(i))) for i in range(3))
-    return F.array(
-        F.get(first, F.lit(0)),
-        F.get(second, F.lit(0)),
-        F.get(second, F.lit(1)),
-        F.get(third, F.lit(0)),
-        F.get(third, F.lit(1)),
-        F.size(rows).cast("string"),
-    )
 
+def cells(header_rows: Column, nth: int) -> Column:
+    return row_cells(F.get(header_rows, F.lit(nth)))
 
-def has_rows(cells: Column) -> Column:
-    return cells[5] != "0"
 
+def category_text(header_rows: Column) -> Column:
+    return joined_text(F.regexp_extract(F.get(header_rows, F.lit(0)), CELL, 1))
 
-def category_text(cells: Column) -> Column:
-    return joined_text(cells[0])
 
+def cell_lines(row: Column, nth: int) -> Column:
+    """Text of a cell, a line end where a tag stood."""
+    return tidy_lines(spaced_text(F.coalesce(F.get(row, F.lit(nth)), F.lit("")), "\n"))
 
-def _lines(cell: Column) -> Column:
-    return F.coalesce(spaced_text(cell, "\n"), F.lit(""))
 
-
-def pairs(cells: Column) -> Column:
-    """Field pairs from the left cell, dates from the right one, then the class line.
+def pair_text(second: Column, third_left: Column) -> Column:
+    """Fields from the left cell, dates from the right one, then the class line.
 
     A region or city line may carry the state too; it is broken there first.
     """
-    fields = colon_pairs(F.regexp_replace(_lines(cells[1]), _STATE_ON_LINE, "$1\nState:"))
-    dates = colon_pairs(_lines(cells[2]))
-    emergency = F.transform(
-        F.filter(
-            F.transform(F.split(_lines(cells[3]), "\n"), normalize_whitespace),
-            lambda line: F.lower(line).startswith(EMERGENCY_LABEL),
-        ),
-        lambda line: F.struct(
-            F.lit(EMERGENCY_LABEL).alias("label"),
-            F.trim(F.coalesce(F.get(F.split(line, ":", 2), F.lit(1)), F.lit(""))).alias("value"),
-        ),
+    fields = F.regexp_replace(cell_lines(second, 0), _STATE_ON_LINE, "$1\nState:")
+    dates = F.regexp_extract_all(cell_lines(second, 1), F.lit(_DATE_LINE), F.lit(0))
+    emergency = F.regexp_extract_all(
+        F.regexp_replace(third_left, _EMERGENCY_LINE, EMERGENCY_LABEL + ":"),
+        F.lit(_EMERGENCY_FIELD),
+        F.lit(0),
     )
-    special = (*DATE_LABELS, EMERGENCY_LABEL)
-    return F.concat(
-        F.filter(fields, lambda p: ~p["label"].isin(*special)),
-        F.filter(dates, lambda p: p["label"].isin(*DATE_LABELS)),
-        emergency,
-    ).cast(PAIRS)
-
-
-def cfr_sections(cells: Column) -> Column:
-    """Lines that start with a code, each read on its own."""
-    lines = F.transform(F.split(_lines(cells[3]), "\n"), normalize_whitespace)
-    coded = F.filter(
-        lines,
-        lambda line: line.rlike(r"^\d+\.\d+")
-        & ~line.contains("10 CFR Section"),
+    others = F.regexp_replace(F.regexp_replace(fields, _DATE_LINE, ""), _EMERGENCY_FIELD, "")
+    pairs = colons_to_separators(
+        F.concat_ws("\n", others, F.array_join(dates, "\n"), F.array_join(emergency, "\n"))
     )
-    return F.coalesce(F.flatten(F.transform(coded, citations)), empty_list(CITATION))
+    return tidy_lines(pairs)
 
 
-def persons_notified(cells: Column) -> Column:
-    return persons(_lines(cells[4]))
+def citation_text(third_left: Column) -> Column:
+    """Only lines that start with a code and hold no section label."""
+    return F.regexp_replace(third_left, r"(?m)^(?!\d+\.\d+)[^\n]*+$|^[^\n]*10 CFR Section[^\n]*+$", "")
 
 
-def event_text(after_header: Column) -> Column:
+def text_html(after_header: Column) -> Column:
     """First cell of the table after the text heading."""
-    return clean_lines(F.regexp_extract(after_header, _TEXT_CELL, 1))
+    return F.regexp_extract(after_header, _TEXT_CELL, 1)
 
 
-def reactor_units(after_header: Column, is_reactor: Column) -> Column:
-    """The unit table before the text heading, for power reactors."""
+def unit_table(after_header: Column) -> Column:
+    """Table with unit titles or nearly full width, before the text heading."""
     before_text = F.split(after_header, f"(?={_TEXT_HEADING})", 2)[0]
 
     def is_unit_table(table: Column) -> Column:
         first_row = joined_text(F.get(table_rows(table), F.lit(0)))
-        titled = first_row.contains("Unit") & first_row.contains("SCRAM")
-        return titled | table.rlike(_WIDE_TABLE)
+        return first_row.rlike("(?s)^(?=.*Unit)(?=.*SCRAM)") | table.rlike(_WIDE_TABLE)
 
-    tables = F.filter(
-        F.regexp_extract_all(before_text, F.lit(TABLE), F.lit(0)), is_unit_table
-    )
-    first = F.coalesce(F.get(tables, F.lit(0)), F.lit(""))
-    return F.when(is_reactor, unit_statuses(body_rows(first))).otherwise(empty_list(UNIT_STATUS))
+    tables = F.filter(F.regexp_extract_all(before_text, F.lit(TABLE), F.lit(0)), is_unit_table)
+    return F.coalesce(F.get(tables, F.lit(0)), F.lit(""))

@@ -4,48 +4,44 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dayledger.functions.dates import long_date
-from dayledger.functions.lists import citations, empty_list, persons, unit_statuses
 from dayledger.functions.markup import (
     TABLE,
     balanced,
-    body_rows,
     close_tag,
     has_class,
     open_tag,
     until,
 )
-from dayledger.functions.text import (
-    clean_lines,
-    joined_text,
-    normalize_whitespace,
-    spaced_text,
-)
+from dayledger.functions.text import TAG, joined_text, spaced_text, unescape_markup
 from dayledger.operators.classify import MODERN_EVENT
-from dayledger.operators.pieces import KNOWN_LABELS, PAIRS, after_first
-from dayledger.schemas import UNIT_STATUS
+from dayledger.operators.pieces import (
+    BLOCK,
+    KNOWN_LABELS,
+    SEP,
+    labels_of,
+    tidy_lines,
+    values_of,
+    written_labels,
+)
 
-_DIV = open_tag("div") + balanced("div", 4) + close_tag("div")
+_H1 = open_tag("h1") + "(" + until(r"/h1\b") + ")"
 _CONTAINER = "^" + open_tag("div") + balanced("div", 5) + close_tag("div")
-_OPEN_CONTAINER = "^" + open_tag("div") + until(r"/?div\b") + "|" + close_tag("div") + "$"
-_HEADING = open_tag("div", has_class("th"))
-_FIRST_HEADING = _HEADING + "(" + until(r"/?div\b") + ")"
+_SIBLINGS = "^" + balanced("div", 5, stop=has_class("grid"))
+_FIRST_HEADING = open_tag("div", has_class("th")) + "(" + until(r"/?div\b") + ")"
 _BORDER = open_tag("div", has_class("border")) + "(" + balanced("div", 4) + ")"
-_GRID_OPEN = open_tag("div", has_class("grid"))
-_LABEL_VALUE = open_tag("b") + "(" + until(r"/b\b") + ")" + close_tag("b") + "("
-_LABEL_VALUE += until(r"b\b", r"br\b", r"/(?:div|p|td|li)\b") + ")"
-_CITATION_LABEL = "10 CFR Section"
-_PERSON_LABEL = r"(?s)^.*Person ?\(Organization\):"
-_H1 = open_tag("h1") + "(" + until(r"/h1\b") + ")"
+_DIV = open_tag("div") + balanced("div", 4) + close_tag("div")
+_CITATION_BLOCK = r"(?s)^.*10 CFR Section(.*?)(?:</?(?i:div)\b|\z)"
+_PERSON_BLOCK = r"(?s)^.*Person ?\(Organization\):(.*?)(?:</?(?i:div)\b|\z)"
 
 
-def fragments(html: Column) -> Column:
-    cuts = F.split(html, f"(?={MODERN_EVENT})")
-    return F.slice(cuts, F.lit(2), F.size(cuts))
+def cuts(page: Column) -> Column:
+    """The page cut in front of each container; the first piece is no event."""
+    return F.split(F.concat(F.lit("\n"), page), f"(?={MODERN_EVENT})")
 
 
-def report_date(html: Column) -> Column:
+def report_date(page: Column) -> Column:
     """Date in the first ``<h1>``, NULL without one."""
-    return long_date(joined_text(F.regexp_extract(html, _H1, 1)))
+    return long_date(joined_text(F.regexp_extract(page, _H1, 1)))
 
 
 def event_ref(fragment: Column) -> Column:
@@ -53,96 +49,78 @@ def event_ref(fragment: Column) -> Column:
 
 
 def head(fragment: Column) -> Column:
-    """The container; the whole fragment when it is never closed."""
-    closed = F.regexp_extract(fragment, _CONTAINER, 0)
-    return F.when(closed == "", fragment).otherwise(closed)
-
-
-def tail(fragment: Column, container: Column) -> Column:
-    """Siblings after the container, up to the close of their parent."""
-    return F.regexp_extract(after_first(fragment, container), "^" + balanced("div", 5), 0)
+    """The container; '' when it is never closed."""
+    return F.regexp_extract(fragment, _CONTAINER, 0)
 
 
-def parts(container: Column) -> Column:
-    """Field blocks: the direct child divs that are no headings."""
-    inner = F.regexp_replace(container, _OPEN_CONTAINER, "")
-    return F.filter(
-        F.regexp_extract_all(inner, F.lit(_DIV), F.lit(0)), lambda d: ~d.rlike("^" + _HEADING)
-    )
+def tail(after_container: Column) -> Column:
+    """Siblings of the container, up to a grid block or the close of the parent."""
+    return F.regexp_extract(after_container, _SIBLINGS, 0)
 
 
 def category_text(container: Column) -> Column:
     return joined_text(F.regexp_extract(container, _FIRST_HEADING, 1))
 
 
-def _block_pairs(block: Column) -> Column:
-    """Filled label/value pairs of one block. A label that stands twice in the block
-    counts at its last place only, even if that one is blank."""
-    found = F.transform(
-        F.regexp_extract_all(block, F.lit(_LABEL_VALUE), F.lit(0)),
-        lambda hit: F.struct(
-            F.rtrim(
-                normalize_whitespace(spaced_text(F.regexp_extract(hit, _LABEL_VALUE, 1), "")),
-                F.lit(":"),
-            ).alias("label"),
-            normalize_whitespace(
-                spaced_text(F.regexp_extract(hit, _LABEL_VALUE, 2), " ")
-            ).alias("value"),
-        ),
-    )
-    labels = F.transform(found, lambda p: F.lower(p["label"]))
-    last_places = F.filter(
-        found,
-        lambda p, i: ~F.array_contains(
-            F.slice(labels, i + 2, F.size(labels)), F.lower(p["label"])
-        ),
+def pair_text(container: Column) -> Column:
+    """A bold label starts a line, its end is the separator; a value ends at the next
+    label, line break or block end. Marks where a block starts."""
+    one_line = F.replace(
+        F.replace(container, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" ")
     )
-    no_repeats = F.size(F.array_distinct(labels)) == F.size(labels)
-    return F.filter(F.when(no_repeats, found).otherwise(last_places), lambda p: p["value"] != "")
+    blocks = F.regexp_replace(one_line, r"<(?i:div)\b", "\n" + BLOCK + "\n$0")
+    lines = F.regexp_replace(blocks, r"<(?i:b|br|/div|/p|/td|/li)\b[^>]*+>", "\n")
+    parted = F.regexp_replace(lines, r"(?<![:\s]):*+\s*+:*+" + close_tag("b"), SEP)
+    return tidy_lines(unescape_markup(F.regexp_replace(parted, TAG, " ")))
 
 
-def pairs(blocks: Column) -> Column:
-    """Pairs of all blocks in order, labels as written."""
-    return F.flatten(F.transform(blocks, _block_pairs)).cast(PAIRS)
+def filled_pairs(text: Column) -> Column:
+    """Slow form of the pairs, for containers where a label stands twice: inside one block
+    a label counts at its last place only, even if that one is blank; between blocks the
+    later filled one counts."""
 
+    def block_pairs(block: Column) -> Column:
+        labels = labels_of(block)
+        found = F.arrays_zip(labels.alias("label"), values_of(block).alias("value"))
+        return F.filter(
+            found,
+            lambda p, i: (p["value"] != "")
+            & ~F.array_contains(F.slice(labels, i + 2, 1_000_000_000), p["label"]),
+        )
 
-def warnings(all_pairs: Column) -> Column:
+    return F.flatten(F.transform(F.split(text, BLOCK), block_pairs))
+
+
+def warnings(text: Column, labels: Column) -> Column:
     """A line for each filled label that no column takes."""
+    known = F.array(*[F.lit(x) for x in (*KNOWN_LABELS, "")])
+    pairs = F.arrays_zip(written_labels(text).alias("label"), values_of(text).alias("value"))
     odd = F.filter(
-        all_pairs, lambda p: ~F.trim(F.lower(p["label"])).isin(*KNOWN_LABELS)
+        pairs, lambda p: (p["value"] != "") & ~F.array_contains(known, F.lower(p["label"]))
     )
-    return F.transform(
+    lines = F.transform(
         odd,
         lambda p: F.concat(
             F.lit("Unexpected field: '"), p["label"], F.lit("' = '"), p["value"], F.lit("'")
         ),
     )
+    return F.when(F.size(F.array_except(labels, known)) > 0, lines)
 
 
-def _last_block_with(blocks: Column, pattern: str) -> Column:
-    texts = F.transform(blocks, lambda b: spaced_text(b, "\n"))
-    hits = F.filter(texts, lambda t: t.rlike(pattern))
-    return F.get(hits, F.size(hits) - 1)
-
-
-def cfr_sections(blocks: Column) -> Column:
-    text = _last_block_with(blocks, _CITATION_LABEL)
-    return citations(F.substring_index(text, _CITATION_LABEL, -1))
+def citation_text(container: Column) -> Column:
+    """Text after the last section label, up to the end of its block."""
+    return spaced_text(F.regexp_extract(container, _CITATION_BLOCK, 1), " ")
 
 
-def persons_notified(blocks: Column) -> Column:
-    text = _last_block_with(blocks, _PERSON_LABEL)
-    return persons(F.regexp_replace(text, _PERSON_LABEL, ""))
+def person_text(container: Column) -> Column:
+    return spaced_text(F.regexp_extract(container, _PERSON_BLOCK, 1), "\n")
 
 
-def event_text(siblings: Column) -> Column:
-    """First border block before the next grid block."""
-    near = F.split(siblings, f"(?={_GRID_OPEN})", 2)[0]
-    return clean_lines(F.regexp_extract(near, _BORDER, 1))
+def text_html(siblings: Column) -> Column:
+    """Inside of the first border block."""
+    return F.regexp_extract(siblings, _BORDER, 1)
 
 
-def reactor_units(siblings: Column, is_reactor: Column) -> Column:
-    """First table among the siblings, for power reactors."""
-    near = F.split(siblings, f"(?={_GRID_OPEN})", 2)[0]
-    table = F.regexp_extract(F.regexp_replace(near, _DIV, ""), TABLE, 0)
-    return F.when(is_reactor, unit_statuses(body_rows(table))).otherwise(empty_list(UNIT_STATUS))
+def unit_table(siblings: Column) -> Column:
+    """First table among the siblings, none inside other blocks."""
+    return F.regexp_extract(F.regexp_replace(siblings, _DIV, ""), TABLE, 0)

@@ -1,19 +1,18 @@
-"""Building blocks shared by the three layouts.
+"""What the three layouts share.
 
-A layout module turns one event fragment into columns in three steps:
-``fragments`` cuts the page, ``cut`` parts a fragment into ``head`` and ``tail`` and
-lists the pieces of the head in ``parts``, and ``read`` turns these into labels, values,
-nested lists and text. ``extract`` picks the layout by a CASE on ``html_format``, so each
-page is scanned once and only the expressions of its own layout run.
+Every layout brings its label/value pairs into one text form: a line per pair, label and
+value parted by ``SEP``. From there on all layouts are read alike, by whole-text
+expressions that run in generated code instead of a lambda per pair.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dayledger.functions.dates import clock_time, clock_zone, us_date
-from dayledger.functions.text import blank_to_null, normalize_whitespace
+from dayledger.functions.text import blank_to_null, single_spaces
 
-PAIRS = "array<struct<label:string,value:string>>"
+SEP = "\x02"
+BLOCK = "\x03"
 
 # Label in lower case and the column it fills.
 FIELD_LABELS = {
@@ -47,22 +46,34 @@ IGNORED_LABELS = (
 )
 KNOWN_LABELS = (*FIELD_LABELS, *DATE_LABELS, EMERGENCY_LABEL, *IGNORED_LABELS)
 
+_LABEL = rf"\n([^\n{SEP}]*+){SEP}"
+_VALUE = rf"{SEP}([^\n]*+)"
 
-def after_first(whole: Column, first: Column) -> Column:
-    """What follows ``first`` when ``whole`` starts with it."""
-    return F.substr(whole, F.length(first) + 1)
 
+def tidy_lines(text: Column) -> Column:
+    """Single spaces, none around line ends and separators; a line end in front."""
+    lines = F.concat(F.lit("\n"), single_spaces(text))
+    for found, kept in (("\n ", "\n"), (" \n", "\n"), (" " + SEP, SEP), (SEP + " ", SEP)):
+        lines = F.replace(lines, F.lit(found), F.lit(kept))
+    return F.rtrim(lines)
 
-def colon_pairs(text: Column) -> Column:
-    """Lines ``label: value`` as pairs; lines without a colon are left out."""
-    lines = F.filter(F.split(text, "\n"), lambda line: line.contains(":"))
-    return F.transform(
-        lines,
-        lambda line: F.struct(
-            F.lower(normalize_whitespace(F.substring_index(line, ":", 1))).alias("label"),
-            normalize_whitespace(F.split(line, ":", 2)[1]).alias("value"),
-        ),
-    )
+
+def colons_to_separators(text: Column) -> Column:
+    """First colon of each line becomes the separator."""
+    return F.regexp_replace(text, r"(?m)^([^:\n]*+):", "$1" + SEP)
+
+
+def written_labels(pair_text: Column) -> Column:
+    """Labels as written, without the colon."""
+    return F.regexp_extract_all(pair_text, F.lit(_LABEL), F.lit(1))
+
+
+def labels_of(pair_text: Column) -> Column:
+    return written_labels(F.lower(pair_text))
+
+
+def values_of(pair_text: Column) -> Column:
+    return F.regexp_extract_all(pair_text, F.lit(_VALUE), F.lit(1))
 
 
 def last_value(labels: Column, values: Column, label: str) -> Column:
