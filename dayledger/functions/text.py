@@ -16,13 +16,22 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# As a class: single Latin-1 characters are one table look-up, the rest are few ranges.
+# As a class: the visible ASCII characters are ruled out by one range before the list is
+# looked at, which matters since nearly every character tested is one of them.
 _LATIN_BLANKS = "".join(c for c in BLANKS if c < "\u0100")
 _OTHER_BLANKS = "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WS = f"[{_LATIN_BLANKS}{_OTHER_BLANKS}]"
-# White space that does not end a line, and the same without the plain space.
-HWS = WS.replace("\n", "")
-_ODD_HWS = HWS.replace(" ", "")
+
+
+def _blank_class(without: str = "") -> str:
+    latin = "".join(c for c in _LATIN_BLANKS if c not in without)
+    return f"[[^!-~]&&[{latin}{_OTHER_BLANKS}]]"
+
+
+WS = _blank_class()
+# White space that does not end a line, and classes without the plain space.
+HWS = _blank_class(without="\n")
+_ODD_WS = _blank_class(without=" ")
+_ODD_HWS = _blank_class(without=" \n")
 
 # A tag opens with a letter, "/", "!" or "?"; a lone "<" in running text is no tag.
 TAG = r"</?[A-Za-z!?][^>]*+>"
@@ -39,7 +48,7 @@ def strip(text: Column) -> Column:
 
 def normalize_whitespace(text: Column) -> Column:
     """Turn every run of white space, non-breaking included, into one space."""
-    return F.trim(F.regexp_replace(text, f" {WS}++|[\n{_ODD_HWS[1:-1]}]{WS}*+", " "))
+    return F.trim(F.regexp_replace(text, f" {WS}++|{_ODD_WS}{WS}*+", " "))
 
 
 def single_spaces(text: Column) -> Column:
