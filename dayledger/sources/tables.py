@@ -6,8 +6,6 @@ failure replaces its own folder and touches nothing else, so all writes can be r
 
 from collections.abc import Iterable
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -35,7 +33,7 @@ def read_table(
     """All rows, or those of some years; an empty frame when nothing was written yet."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(StructType(schema.fields).add("batch", StringType())).parquet(path)
+    df = spark.read.schema(StructType([*schema.fields]).add("batch", StringType())).parquet(path)
     if years is not None:
         df = df.where(F.col("year").isin(*years))
     if without_batch is not None:
@@ -44,9 +42,6 @@ def read_table(
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does the folder exist? Asked through the data source, so any file system works."""
-    try:
-        spark.read.format("binaryFile").load(path)
-    except (AnalysisException, Py4JJavaError):
-        return False
-    return True
+    """Does the folder exist, on whatever file system the path names?"""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
