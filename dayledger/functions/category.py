@@ -18,9 +18,18 @@ PHRASES = (
 )
 
 
-def event_category(text: Column) -> Column:
-    heading = F.upper(normalize_whitespace(text))
+def plain_heading(text: Column) -> Column:
+    return F.upper(normalize_whitespace(text))
+
+
+def category_of_heading(heading: Column) -> Column:
+    """Category of a heading made by ``plain_heading``. Pass a column, not an expression:
+    it is looked at once for each phrase."""
     return F.coalesce(
         *[F.when(heading.contains(phrase), F.lit(name)) for phrase, name in PHRASES],
         F.lit("Unknown"),
     )
+
+
+def event_category(text: Column) -> Column:
+    return category_of_heading(plain_heading(text))

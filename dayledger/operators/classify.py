@@ -1,5 +1,7 @@
 """Page layout: one pass over the page, ordered rules, first hit wins."""
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +36,10 @@ def pre_text(html: Column) -> Column:
     return F.replace(spaced_text(F.regexp_extract(html, _PRE, 1), ""), F.lit("\r\n"), F.lit("\n"))
 
 
-def with_layout(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add ``_html`` (prepared), ``_pre`` (text of the first preformatted block, only where
-    the earlier rules leave the layout open) and ``html_format``.
-
-    Each step is a column of its own, so that a page goes through it once.
-    """
+@cache
+def _stages() -> tuple[dict[str, Column], ...]:
+    """Columns step by step. Each step is a column of its own, so that a page goes through
+    it once; a column object serves any number of plans."""
     page, kind, pre = F.col("_html"), F.col("_kind"), F.col("_pre")
     strong = F.array_join(F.regexp_extract_all(page, F.lit(_STRONG), F.lit(1)), "<p>\x00<p>")
     by_markup = (
@@ -55,15 +55,22 @@ def with_layout(pages: DataFrame, html: str = "html") -> DataFrame:
         .otherwise("unknown")
     )
     return (
-        pages.withColumn("_visible", visible_markup(F.col(html)))
-        .withColumn("_html", decode_entities(F.col("_visible")))
-        .withColumn("_kind", by_markup)
-        .withColumn("_pre", F.when(kind.isNull() & page.rlike(open_tag("pre")), pre_text(page)))
-        .withColumn("html_format", F.when(kind.isNotNull(), kind).otherwise(by_text))
-        .drop("_visible", "_kind")
+        {"_visible": visible_markup(F.col("html"))},
+        {"_html": decode_entities(F.col("_visible"))},
+        {"_kind": by_markup},
+        {"_pre": F.when(kind.isNull() & page.rlike(open_tag("pre")), pre_text(page))},
+        {"html_format": F.when(kind.isNotNull(), kind).otherwise(by_text)},
     )
 
 
-def detect_format(pages: DataFrame, html: str = "html") -> DataFrame:
+def with_layout(pages: DataFrame) -> DataFrame:
+    """Add ``_html`` (prepared), ``_pre`` (text of the first preformatted block, only where
+    the earlier rules leave the layout open) and ``html_format``."""
+    for columns in _stages():
+        pages = pages.withColumns(columns)
+    return pages.drop("_visible", "_kind")
+
+
+def detect_format(pages: DataFrame) -> DataFrame:
     """Add ``html_format``: modern / legacy / plaintext / empty / unknown."""
-    return with_layout(pages, html).drop("_html", "_pre")
+    return with_layout(pages).drop("_html", "_pre")

@@ -6,10 +6,12 @@ used more than once is a column, because inside a CASE branch the optimizer does
 share common expressions.
 """
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.functions.category import event_category
+from dayledger.functions.category import category_of_heading, plain_heading
 from dayledger.functions.lists import citations_in_lines, empty_list, persons, unit_statuses
 from dayledger.functions.markup import body_rows, without_first
 from dayledger.functions.text import clean_lines, normalize_whitespace
@@ -33,6 +35,16 @@ def _by_layout(if_modern=None, if_legacy=None, if_plaintext=None) -> Column:
     return chain
 
 
+@cache
+def _page_columns() -> tuple[Column, Column]:
+    """Report date and pieces of a page."""
+    page, pre = F.col("_html"), F.col("_pre")
+    return (
+        _by_layout(modern.report_date(page), None, plaintext.report_date(pre)).alias("report_date"),
+        _by_layout(modern.cuts(page), legacy.cuts(page), plaintext.cuts(pre)).alias("_cuts"),
+    )
+
+
 def segment(pages: DataFrame) -> DataFrame:
     """One row per event fragment; a page without any keeps one row with NULLs.
 
@@ -40,15 +52,8 @@ def segment(pages: DataFrame) -> DataFrame:
     """
     replaced = ("url", "html", "report_date", "html_format")
     carried = [c for c in pages.columns if c not in replaced]
-    page, pre = F.col("_html"), F.col("_pre")
     routed = with_layout(pages.select(F.col("url").alias("page_url"), *carried, "html"))
-    cut = routed.select(
-        "page_url",
-        *carried,
-        "html_format",
-        _by_layout(modern.report_date(page), None, plaintext.report_date(pre)).alias("report_date"),
-        _by_layout(modern.cuts(page), legacy.cuts(page), plaintext.cuts(pre)).alias("_cuts"),
-    )
+    cut = routed.select("page_url", *carried, "html_format", *_page_columns())
     return cut.select(
         "page_url",
         *carried,
@@ -58,85 +63,97 @@ def segment(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_fragments(fragments: DataFrame) -> DataFrame:
-    """Typed event columns for each fragment, plus ``event_ref`` and ``error``."""
+@cache
+def _stages() -> tuple[dict[str, Column], ...]:
+    """Intermediate columns of a fragment, step by step."""
     c = F.col
     is_modern, is_legacy = c("html_format") == "modern", c("html_format") == "legacy"
-    fragment, head, tail, rows = c("fragment"), c("_head"), c("_tail"), c("_rows")
+    fragment, head, rows, pair_text = c("fragment"), c("_head"), c("_rows"), c("_pair_text")
     after_head = F.substr(fragment, F.length(head) + 1)
-    cut = (
-        fragments.withColumn(
-            "_found", _by_layout(modern.head(fragment), legacy.head(fragment), plaintext.head(fragment))
-        )
-        # A modern container that is never closed reaches to the end of its fragment.
-        .withColumn("_head", F.when(is_modern & (c("_found") == ""), fragment).otherwise(c("_found")))
-        .withColumn("_tail", F.when(is_modern, modern.tail(after_head)).otherwise(after_head))
-        .withColumn("_rows", _by_layout(None, legacy.rows(head)))
-        .withColumn("_second", F.when(is_legacy, legacy.cells(rows, 1)))
-        .withColumn("_third", F.when(is_legacy, legacy.cells(rows, 2)))
-        .withColumn("_third_left", F.when(is_legacy, legacy.cell_lines(c("_third"), 0)))
-        .withColumn(
-            "event_ref",
-            _by_layout(
+    labels = c("_all_labels")
+    return (
+        {
+            "_found": _by_layout(
+                modern.head(fragment), legacy.head(fragment), plaintext.head(fragment)
+            ),
+            "event_ref": _by_layout(
                 modern.event_ref(fragment), legacy.event_ref(fragment), plaintext.event_ref(fragment)
             ),
-        )
-        .withColumn("event_number", F.regexp_extract("event_ref", r"\d+", 0).try_cast("bigint"))
-        .withColumn(
-            "_heading",
-            _by_layout(
-                modern.category_text(head),
-                legacy.category_text(rows),
-                plaintext.category_text(fragment),
+        },
+        # A modern container that is never closed reaches to the end of its fragment.
+        {
+            "_head": F.when(is_modern & (c("_found") == ""), fragment).otherwise(c("_found")),
+            "event_number": F.regexp_extract("event_ref", r"\d+", 0).try_cast("bigint"),
+        },
+        {
+            "_tail": F.when(is_modern, modern.tail(after_head)).otherwise(after_head),
+            "_rows": _by_layout(None, legacy.rows(head)),
+        },
+        {
+            "_second": F.when(is_legacy, legacy.cells(rows, 1)),
+            "_third": F.when(is_legacy, legacy.cells(rows, 2)),
+            "_heading": plain_heading(
+                _by_layout(
+                    modern.category_text(head),
+                    legacy.category_text(rows),
+                    plaintext.category_text(fragment),
+                )
             ),
-        )
-        .withColumn("category", event_category(c("_heading")))
-        .withColumn(
-            "error",
-            F.when(fragment.isNull(), None)
+            "error": F.when(fragment.isNull(), None)
             .when(c("event_number").isNull(), NO_NUMBER)
             .when(is_legacy & (head == ""), NO_TABLE)
             .when(is_legacy & (F.size(rows) == 0), NO_ROWS),
-        )
-        .withColumn(
-            "_pair_text",
-            _by_layout(
+        },
+        {
+            "category": category_of_heading(c("_heading")),
+            "_third_left": F.when(is_legacy, legacy.cell_lines(c("_third"), 0)),
+        },
+        {
+            "_pair_text": _by_layout(
                 modern.pair_text(head),
                 legacy.pair_text(c("_second"), c("_third_left")),
                 plaintext.pair_text(head),
             ),
-        )
-        .withColumn("_all_labels", labels_of(c("_pair_text")))
-        .withColumn("_all_values", values_of(c("_pair_text")))
+            "_citation_text": _by_layout(
+                normalize_whitespace(modern.citation_text(head)),
+                legacy.citation_text(c("_third_left")),
+            ),
+        },
+        {"_all_labels": labels_of(pair_text), "_all_values": values_of(pair_text)},
         # Modern pages: blank values do not count. Without repeats a blank and a missing
         # value give the same columns, only repeated labels need the slow form.
-        .withColumn(
-            "_slow",
-            F.when(
-                is_modern & (F.size(F.array_distinct("_all_labels")) < F.size("_all_labels")),
-                modern.filled_pairs(c("_pair_text")),
+        {
+            "_slow": F.when(
+                is_modern & (F.size(F.array_distinct(labels)) < F.size(labels)),
+                modern.filled_pairs(pair_text),
+            )
+        },
+        {
+            "_labels": F.reverse(F.coalesce(F.transform("_slow", lambda p: p["label"]), labels)),
+            "_values": F.reverse(
+                F.coalesce(F.transform("_slow", lambda p: p["value"]), c("_all_values"))
             ),
-        )
-        .withColumn(
-            "_labels",
-            F.reverse(F.coalesce(F.transform("_slow", lambda p: p["label"]), "_all_labels")),
-        )
-        .withColumn(
-            "_values",
-            F.reverse(F.coalesce(F.transform("_slow", lambda p: p["value"]), "_all_values")),
-        )
+        },
     )
+
+
+@cache
+def _outputs() -> tuple[Column, ...]:
+    """The event columns out of the intermediate ones."""
+    c = F.col
+    head, tail = c("_head"), c("_tail")
+    in_pre = c("html_format") == "plaintext"
     is_reactor = c("category") == "Power Reactor"
-    citation_text = _by_layout(
-        normalize_whitespace(modern.citation_text(head)), legacy.citation_text(c("_third_left"))
-    )
     person_text = _by_layout(modern.person_text(head), legacy.cell_lines(c("_third"), 1))
     text_html = _by_layout(modern.text_html(tail), legacy.text_html(tail))
     unit_table = _by_layout(modern.unit_table(tail), legacy.unit_table(tail))
-    in_pre = c("html_format") == "plaintext"
+    values = field_columns(c("_labels"), c("_values"))
+    values["event_text"] = F.when(in_pre, plaintext.event_text(tail)).otherwise(
+        clean_lines(text_html)
+    )
     lists = {
         "cfr_sections": F.when(in_pre, plaintext.cfr_sections(head)).otherwise(
-            citations_in_lines(citation_text)
+            citations_in_lines(c("_citation_text"))
         ),
         "persons_notified": F.when(in_pre, plaintext.persons_notified(head)).otherwise(
             persons(person_text)
@@ -146,18 +163,18 @@ def read_fragments(fragments: DataFrame) -> DataFrame:
         .otherwise(empty_list(UNIT_STATUS)),
         "parse_warnings": _by_layout(modern.warnings(c("_pair_text"), c("_labels"))),
     }
-    return cut.select(
-        *[name for name in fragments.columns if name != "fragment"],
-        "event_ref",
-        "event_number",
-        "category",
-        "error",
-        *[value.alias(name) for name, value in field_columns(c("_labels"), c("_values")).items()],
-        F.when(in_pre, plaintext.event_text(tail)).otherwise(clean_lines(text_html)).alias("event_text"),
-        *[
-            F.coalesce(value, F.array().cast(EVENT[name].dataType)).alias(name)
-            for name, value in lists.items()
-        ],
+    for name, value in lists.items():
+        values[name] = F.coalesce(value, F.array().cast(EVENT[name].dataType))
+    return tuple(value.alias(name) for name, value in values.items())
+
+
+def read_fragments(fragments: DataFrame) -> DataFrame:
+    """Typed event columns for each fragment, plus ``event_ref`` and ``error``."""
+    kept = [name for name in fragments.columns if name != "fragment"]
+    for columns in _stages():
+        fragments = fragments.withColumns(columns)
+    return fragments.select(
+        *kept, "event_ref", "event_number", "category", "error", *_outputs()
     )
 
 
