@@ -84,7 +84,8 @@ def text_html(after_header: Column) -> Column:
 
 def unit_table(after_header: Column) -> Column:
     """Table with unit titles or nearly full width, before the text heading."""
-    before_text = F.split(after_header, f"(?={_TEXT_HEADING})", 2)[0]
+    # The blank in front lets the cut happen at the very start too.
+    before_text = F.split(F.concat(F.lit(" "), after_header), f"(?={_TEXT_HEADING})", 2)[0]
 
     def is_unit_table(table: Column) -> Column:
         first_row = joined_text(F.get(table_rows(table), F.lit(0)))
