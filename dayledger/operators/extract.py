@@ -125,7 +125,7 @@ def _stages() -> tuple[dict[str, Column], ...]:
         {
             "_slow": F.when(
                 is_modern & (F.size(F.array_distinct(labels)) < F.size(labels)),
-                modern.filled_pairs(pair_text),
+                modern.filled_pairs(head),
             )
         },
         {

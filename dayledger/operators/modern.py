@@ -15,7 +15,6 @@ from dayledger.functions.markup import (
 from dayledger.functions.text import TAG, joined_text, spaced_text, unescape_markup
 from dayledger.operators.classify import MODERN_EVENT
 from dayledger.operators.pieces import (
-    BLOCK,
     KNOWN_LABELS,
     SEP,
     labels_of,
@@ -62,33 +61,34 @@ def category_text(container: Column) -> Column:
     return joined_text(F.regexp_extract(container, _FIRST_HEADING, 1))
 
 
-def pair_text(container: Column) -> Column:
+def pair_text(html: Column) -> Column:
     """A bold label starts a line, its end is the separator; a value ends at the next
-    label, line break or block end. Marks where a block starts."""
-    one_line = F.replace(
-        F.replace(container, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" ")
-    )
-    blocks = F.regexp_replace(one_line, r"<(?i:div)\b", "\n" + BLOCK + "\n$0")
-    lines = F.regexp_replace(blocks, r"<(?i:b|br|/div|/p|/td|/li)\b[^>]*+>", "\n")
-    parted = F.regexp_replace(lines, r"(?<![:\s]):*+\s*+:*+" + close_tag("b"), SEP)
-    return tidy_lines(unescape_markup(F.regexp_replace(parted, TAG, " ")))
+    label, line break or block end."""
+    one_line = F.replace(F.replace(html, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    lines = F.regexp_replace(one_line, r"<(?i:b|br|/div|/p|/td|/li)\b[^>]*+>", "\n")
+    parted = F.regexp_replace(lines, close_tag("b"), SEP)
+    tidy = tidy_lines(unescape_markup(F.regexp_replace(parted, TAG, " ")))
+    for label_end in (":", ":", " "):
+        tidy = F.replace(tidy, F.lit(label_end + SEP), F.lit(SEP))
+    return tidy
 
 
-def filled_pairs(text: Column) -> Column:
+def filled_pairs(container: Column) -> Column:
     """Slow form of the pairs, for containers where a label stands twice: inside one block
     a label counts at its last place only, even if that one is blank; between blocks the
     later filled one counts."""
 
-    def block_pairs(block: Column) -> Column:
-        labels = labels_of(block)
-        found = F.arrays_zip(labels.alias("label"), values_of(block).alias("value"))
+    def block_pairs(lines: Column) -> Column:
+        labels = labels_of(lines)
+        found = F.arrays_zip(labels.alias("label"), values_of(lines).alias("value"))
         return F.filter(
             found,
             lambda p, i: (p["value"] != "")
             & ~F.array_contains(F.slice(labels, i + 2, 1_000_000_000), p["label"]),
         )
 
-    return F.flatten(F.transform(F.split(text, BLOCK), block_pairs))
+    blocks = F.split(container, r"(?=<(?i:div)\b)")
+    return F.flatten(F.transform(F.transform(blocks, pair_text), block_pairs))
 
 
 def warnings(text: Column, labels: Column) -> Column:

@@ -12,7 +12,6 @@ from dayledger.functions.dates import clock_time, clock_zone, us_date
 from dayledger.functions.text import blank_to_null, single_spaces
 
 SEP = "\x02"
-BLOCK = "\x03"
 
 # Label in lower case and the column it fills.
 FIELD_LABELS = {
