@@ -38,8 +38,11 @@ def write_and_reread(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
+    """Few enough narrow rows to broadcast? Stops counting past the limit."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint for narrow rows when there are few of them; else leave the join
-    to the optimizer. Stops counting past the limit."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    """Broadcast hint when the rows are few; else leave the join to the optimizer."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
