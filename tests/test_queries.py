@@ -46,7 +46,9 @@ def test_state_queries_do_not_read_the_page_text(spark):
 def test_first_wins_limits_groups_before_the_shuffle(spark):
     lines = catalogue._line_events(spark, SMALL).drop("batch")
     text = plan(dedup.first_wins(lines))
-    assert text.count("WindowGroupLimit") >= 2 or "Partial" in text
+    first, second = (line for line in text.split("\n") if "WindowGroupLimit" in line)
+    assert first.endswith("Final") and second.endswith("Partial")
+    assert text.index(first) < text.index("Exchange") < text.index(second)
 
 
 def test_current_status_uses_no_window(spark):
