@@ -13,6 +13,7 @@ from dayledger.operators.pieces import (
     tidy_lines,
 )
 
+# The tags, titles and table width of this layout.
 _TO_TABLE = r"^<(?:[^<]++|<(?i:br\b|/?a\b))*+" + TABLE
 _TEXT_HEADING = open_tag("p") + until(r"/?p\b", r"b\b") + open_tag("b") + "[^<]*Event Text"
 _TEXT_CELL = _TEXT_HEADING + "(?s:.*?)" + open_tag("table") + until(r"t[dh]\b", r"/table\b") + CELL

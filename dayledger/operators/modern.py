@@ -23,6 +23,7 @@ from dayledger.operators.pieces import (
     written_labels,
 )
 
+# The tags, classes and titles of this layout.
 _H1 = open_tag("h1") + "(" + until(r"/h1\b") + ")"
 _CONTAINER = "^" + open_tag("div") + balanced("div", 5) + close_tag("div")
 _SIBLINGS = "^" + balanced("div", 5, stop=has_class("grid"))
