@@ -8,14 +8,16 @@ level by halving the block. A document takes the points below its weight, so two
 agree in a place with probability equal to their weighted Jaccard similarity, without bias.
 Only arrivals below a bound are drawn, and the bound doubles until every place is filled.
 
-Bands of four places are buckets. Each bucket's members are compared with the bucket's least
-member; where that leaves one bucket with several classes, the members outside the class of
-the least one are compared with all members of other classes. So each pair that shares a
-bucket either is compared or is in one class already. A pair at similarity 0.8 misses
-all 24 bands with probability 3e-6. Every comparison is the exact overlap of multisets.
+Bands of six places are buckets. A bucket's members are compared with one of them, in rounds
+with changing members, until few pairs of one bucket in two classes are open. These are then
+compared each: by their signatures, of which pairs under 0.8 by 3.5 deviations are left, and the rest by
+their texts. So each pair that shares a bucket is compared or in one class already, and
+no group of copies is expanded into its pairs. A pair at similarity 0.8 misses
+all 36 bands with probability 2e-5. Every comparison is the exact overlap of multisets.
 """
 
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from dayledger.llm.graph import components
 from dayledger.llm.words import GOLDEN, hashes, mix, pieces_of_batches, shingles, words_of
 from dayledger.session import write_and_reread
 
-BANDS, ROWS, SIMILARITY, RUN = 24, 4, 0.8, 5
+BANDS, ROWS, SIMILARITY, RUN = 36, 6, 0.8, 5
 _U = np.uint64
 
 
@@ -102,17 +104,22 @@ def bags(lists: list[list[str]], run: int):
     return np.concatenate(element), np.concatenate(weight), np.concatenate(doc)
 
 
+def _lists(values: np.ndarray, total: np.ndarray) -> pa.Array:
+    """A list for each row; an empty one where the total is 0."""
+    ends = np.concatenate(([0], np.cumsum((total > 0) * values.shape[1]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[total > 0].ravel()))
+
+
 def _signer(bands: int, rows: int, run: int):
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, lists in pieces_of_batches(batches, "text"):
             element, weight, doc = bags(lists, run)
             total = np.bincount(doc, weight, len(lists)).astype(np.int64)
-            keys = band_keys(bag_signatures(element, weight, doc, len(lists), bands * rows), rows)
-            ends = np.concatenate(([0], np.cumsum((total > 0) * bands))).astype(np.int32)
-            lists_of_keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[total > 0].ravel()))
+            signature = bag_signatures(element, weight, doc, len(lists), bands * rows)
+            short = (mix(signature.view(_U)) & _U(0xFF)).astype(np.uint8).view(np.int8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k"), batch.column("id"), pa.array(total), lists_of_keys],
-                ["k", "id", "total", "bands"],
+                [batch.column("k"), batch.column("id"), _lists(band_keys(signature, rows), total), _lists(short, total)],
+                ["k", "id", "bands", "short"],
             )
 
     return sign
@@ -164,9 +171,8 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ).where(F.col("text").isNotNull())
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float, run: int) -> DataFrame:
-    """Links among pairs (x, x_id, p, p_id); the two joins read one exchange of the texts."""
-    held = texts.select(F.xxhash64(_key(F.col("text"))).alias("n"), "id", "text")
+def _verified(pairs: DataFrame, held: DataFrame, similarity: float, run: int) -> DataFrame:
+    """Links among pairs (x, x_id, p, p_id) of texts (n, id, text)."""
     mine = held.select(F.col("n").alias("x"), F.col("id").alias("x_id"), F.col("text").alias("x_text"))
     other = held.select(F.col("n").alias("p"), F.col("id").alias("p_id"), F.col("text").alias("p_text"))
     both = (
@@ -251,59 +257,113 @@ def _classes(docs, id_col, text_col, bands, rows, similarity, run) -> tuple[Data
     """Distinct texts (n, k, id, bands), and (k, class_id) of those linked with another text."""
     texts = _texts(docs, id_col, text_col)
     signed = texts.select(_key(F.col("text")).alias("k"), "id", "text").mapInArrow(
-        _signer(bands, rows, run), "k binary, id long, total long, bands array<long>"
+        _signer(bands, rows, run), "k binary, id long, bands array<long>, short array<tinyint>"
     )
     nodes = write_and_reread(
         signed.groupBy("k")
-        .agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-        .select(F.xxhash64("k").alias("n"), "k", "id", "bands"),
+        .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("short").alias("short"))
+        .select(F.xxhash64("k").alias("n"), "k", "id", "bands", "short"),
         "texts",
     )
-    members = nodes.select("n", "id", F.explode("bands").alias("bucket"))
-    pivots = (
-        members.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min(F.struct("n", "id")).alias("p"))
-        .where("size > 1")
-        .select("bucket", F.col("p.n").alias("p"), F.col("p.id").alias("p_id"))
-    )
-    crowded = write_and_reread(
-        members.join(pivots, "bucket").select(
-            "bucket", F.col("n").alias("x"), F.col("id").alias("x_id"), "p", "p_id"
-        ),
-        "buckets",
-    )
-    to_pivot = crowded.where("x <> p").select("x", "x_id", "p", "p_id").distinct()
-    links = write_and_reread(_verified(to_pivot, texts, similarity, run), "links")
-    first = components(links)
-    rest = write_and_reread(_cross_pairs(crowded, first), "pairs")
-    if not rest.isEmpty():
-        more = write_and_reread(_verified(rest, texts, similarity, run), "links")
-        first = components(links.union(more).select("u", "v"))
+    members = nodes.select(F.col("n").alias("x"), F.col("id").alias("x_id"), F.explode("bands").alias("bucket"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    crowded = write_and_reread(members.join(sizes, "bucket"), "buckets")
+    degrees = crowded.groupBy("x").agg(F.sum("size").alias("degree"))
+    crowded = write_and_reread(crowded.join(degrees, "x").select("bucket", "x", "x_id", "degree"), "buckets")
+    wanted = crowded.select(F.col("x").alias("n"), F.struct("x_id").alias("key")).distinct()
+    held = texts.select(F.xxhash64(_key(F.col("text"))).alias("n"), F.struct(F.col("id").alias("x_id")).alias("key"), "text")
+    held = write_and_reread(held.join(wanted, ["n", "key"]).select("n", F.col("key.x_id").alias("id"), "text"), "candidates")
+    slots = bands * rows
+    alike = similarity * slots - 3.5 * (similarity * (1 - similarity) * slots) ** 0.5
+    first = _linked(crowded, held, nodes.select(F.col("n").alias("x"), "short"), alike, similarity, run)
     named = nodes.select("n", "k", "id").join(first, nodes["n"] == first["node"], "inner")
     least = named.groupBy("label").agg(F.min("id").alias("class_id"))
     classes = write_and_reread(named.join(least, "label").select("k", "class_id"), "classes")
     return nodes, classes
 
 
-def _cross_pairs(crowded: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs in one bucket and two classes, but for those already compared."""
-    named = crowded.join(
-        classes.select(F.col("node").alias("x"), F.col("label").alias("x_class")), "x", "left"
-    ).join(classes.select(F.col("node").alias("p"), F.col("label").alias("p_class")), "p", "left")
-    named = named.select(
+def _linked(
+    crowded: DataFrame, held: DataFrame, shorts: DataFrame, alike: float, similarity: float, run: int
+) -> DataFrame:
+    """(node, label) of all texts that verified links connect.
+
+    In each round every bucket of two or more classes picks a member and compares it with the
+    members of other classes: first the one that shares most buckets with others, as the
+    original of edited copies does, then by a draw that favours such members. Rounds go on
+    while they settle a third of the open pairs; then the open pairs that are left, members of
+    one bucket in two classes, are all compared: by the short signatures inside the join, and
+    word by word if at least ``alike`` places agree.
+    """
+    spark = crowded.sparkSession
+    links = spark.createDataFrame([], "u long, v long, similarity double")
+    classes = spark.createDataFrame([], "node long, label long")
+    open_pairs = None
+    for turn in count():
+        named = write_and_reread(
+            crowded.join(classes.withColumnRenamed("node", "x"), "x", "left").select(
+                "bucket", "x", "x_id", "degree", F.coalesce("label", "x").alias("c")
+            ),
+            "classes",
+        )
+        mixed = _mixed(named)
+        before, open_pairs = open_pairs, mixed.agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
+        if not open_pairs:
+            return classes
+        last = before is not None and 3 * open_pairs > 2 * before
+        pairs = _rest(named, mixed, shorts, alike) if last else _to_pivot(named, mixed, turn)
+        more = write_and_reread(_verified(pairs, held, similarity, run), "links")
+        links = links.union(more)
+        classes = components(links.select("u", "v"))
+        if last:
+            return classes
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """Buckets of several classes: their largest class and number of open pairs."""
+    sizes = named.groupBy("bucket", "c").agg(F.count("*").alias("n"))
+    square = F.col("n") * F.col("n")
+    return (
+        sizes.groupBy("bucket")
+        .agg(
+            F.max_by("c", F.col("n")).alias("large"),
+            F.count("*").alias("classes"),
+            ((F.sum("n") * F.sum("n") - F.sum(square)) / 2).alias("open"),
+        )
+        .where("classes > 1")
+    )
+
+
+def _to_pivot(named: DataFrame, mixed: DataFrame, turn: int) -> DataFrame:
+    """Each member of a mixed bucket with the bucket's pivot, if in another class."""
+    inside = named.join(mixed.select("bucket"), "bucket", "left_semi")
+    draw = F.pmod(F.xxhash64(F.lit(turn), "x"), F.lit(1000)) / 1000 if turn else F.lit(1.0)
+    pivot = inside.groupBy("bucket").agg(
+        F.max(F.struct((F.col("degree") * draw).alias("w"), "x", "x_id", "c")).alias("p")
+    )
+    return (
+        inside.join(pivot, "bucket")
+        .where(F.col("c") != F.col("p.c"))
+        .select("x", "x_id", F.col("p.x").alias("p"), F.col("p.x_id").alias("p_id"))
+        .distinct()
+    )
+
+
+def _rest(named: DataFrame, mixed: DataFrame, shorts: DataFrame, alike: float) -> DataFrame:
+    """Open pairs that may be links: each member outside its bucket's largest class with those of other classes."""
+    inside = named.join(mixed.select("bucket", "large"), "bucket").join(shorts, "x")
+    outside = inside.where("c <> large").select(
         "bucket",
-        "x",
-        "x_id",
-        "p",
-        F.coalesce("x_class", "x").alias("c"),
-        F.coalesce("p_class", "p").alias("p_class"),
+        F.col("x").alias("y"),
+        F.col("x_id").alias("y_id"),
+        F.col("c").alias("y_c"),
+        F.col("short").alias("y_short"),
     )
-    outside = named.where("c <> p_class").select(
-        "bucket", F.col("x").alias("y"), F.col("x_id").alias("y_id"), F.col("c").alias("y_c")
+    same = F.aggregate(
+        F.zip_with("short", "y_short", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, e: n + e
     )
     return (
-        named.join(outside, "bucket")
-        .where("c <> y_c and x <> p and (c = p_class or x < y)")
+        inside.join(outside, "bucket")
+        .where(F.expr("c <> y_c and (c = large or x < y)") & (same >= alike))
         .select(
             F.col("y").alias("x"), F.col("y_id").alias("x_id"), F.col("x").alias("p"), F.col("x_id").alias("p_id")
         )
