@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 K, BLOCK, QUERY_BLOCK, LEVELS = 20, 4096, 512, 4
-_EXACT = 2.0**53
+_EXACT, _MOST = 2.0**53, 2**63 - 1
 
 
 def whole_components(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -70,7 +70,8 @@ def block_top(q: np.ndarray, v: np.ndarray, own: np.ndarray, k: int) -> list[tup
     """
     if q.size and v.size and q.shape[1] * float(np.abs(q).max()) * float(np.abs(v).max()) >= _EXACT:
         scores = [sum(int(a) * b.astype(object) for a, b in zip(row, v.T)) for row in q]  # beyond doubles
-        return [(np.flatnonzero(~own[i]), np.array(s)[~own[i]]) for i, s in enumerate(scores)]
+        scores = [np.array([min(max(x, -_MOST), _MOST) for x in s], np.int64) for s in scores]
+        return [(np.flatnonzero(~own[i]), s[~own[i]]) for i, s in enumerate(scores)]
     up, down = np.maximum(q, 0).astype(float), np.maximum(-q, 0).astype(float)
     parts = segments(v)
     reach = (up + down).sum(1)
@@ -139,7 +140,7 @@ def top_k(
     Queries are the rows whose id is divisible by ``every``; candidates all rows with another
     id; ties go to the smaller id. Vectors that are null or hold null or non-finite
     components, and rows without an id, take no part. A shorter vector counts as filled up
-    with zeros, an empty one scores 0. Where rows repeat an id each is a candidate; queries that
+    with zeros, an empty one scores 0. Scores and components beyond 64 bits become the last such number. Where rows repeat an id each is a candidate; queries that
     repeat an id are answered once for each different vector, as further ranks 1 to ``k``.
     Other columns are not read; no rows give no rows.
     """
