@@ -12,12 +12,16 @@ _own_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset, as in local tests, one temporary folder per application is
-    made and set as the checkpoint folder too.
+    Where it is unset and the master is local, as in tests, one temporary folder per
+    application is made and set as the checkpoint folder too. On a cluster executors could
+    not see such a folder, so there an unset one is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="dayledger-")

@@ -23,6 +23,16 @@ def append_batch(df: DataFrame, path: str, batch: str, by_year: bool = True) ->
     )
 
 
+def drop_batch(spark: SparkSession, path: str, batch: str, endings: Iterable[str] = ("",)) -> None:
+    """Remove a batch's folders, with or without a year, under each of its names."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for ending in endings:
+        for place in (f"year=*/batch={batch}{ending}", f"batch={batch}{ending}"):
+            for found in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, place)) or ():
+                files.delete(found.getPath(), True)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
