@@ -20,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -62,6 +63,9 @@ class Vocabulary:
         if any(_CUT.search(p) for p in self.pieces):
             raise ValueError("a piece of this vocabulary goes on over a blank or a line feed")
         self.size, self.known = size, {}
+        self.sizes = np.array([len(b) for b in self.bytes_of])
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     @staticmethod
     def _whole(score: float, i: int) -> int:
@@ -103,6 +107,28 @@ class Vocabulary:
         return [i for ids in reversed(out) for i in ids]
 
     def _unit(self, unit: str) -> tuple[int, bytes]:
+        """As ``best`` and ``trace`` over the whole unit, the common case without byte pieces."""
+        pieces, starts, n = self.pieces, self.starts, len(unit)
+        score, back = [0] + [NEVER] * n, [None] * (n + 1)
+        for p in range(n):
+            now = score[p]
+            for to in range(p + 1, min(p + self.longest, n) + 1):
+                part = unit[p:to]
+                found = pieces.get(part)
+                if found is not None:
+                    if now + found[0] > score[to]:
+                        score[to], back[to] = now + found[0], (p, found[1])
+                elif to == p + 1:
+                    return self._slow_unit(unit)
+                if part not in starts:
+                    break
+        ids, place = [], n
+        while place:
+            place, i = back[place]
+            ids.append(i)
+        return score[n], np.array(ids[::-1], "<i4").tobytes()
+
+    def _slow_unit(self, unit: str) -> tuple[int, bytes]:
         at = self.best(unit, 0, len(unit), len(unit))
         return at[len(unit)][0], np.array(self.trace(at, len(unit)), "<i4").tobytes()
 
@@ -111,10 +137,13 @@ class Vocabulary:
         if len(self.known) > self.size:
             self.known = {}
         units = _UNIT.findall(text)
-        for u in units:
-            if u not in self.known:
-                self.known[u] = self._unit(u)
-        return [self.known[u] for u in units]
+        found = list(map(self.known.get, units))
+        if None in found:
+            for u in units:
+                if u not in self.known:
+                    self.known[u] = self._unit(u)
+            found = list(map(self.known.__getitem__, units))
+        return found
 
     def encode(self, text: str) -> bytes:
         return b"".join([u[1] for u in self.units(text)])
@@ -122,6 +151,26 @@ class Vocabulary:
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
+    def texts(self, lists: pa.Array) -> pa.Array:
+        """Texts of lists of ids, all at once, without the blank that was put before each."""
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        counts = np.array(lists.value_lengths().fill_null(0))
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        data = self.flat[np.repeat(self.firsts[ids] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        rows = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+        keep = np.ones(len(data), bool)
+        keep[rows[:-1][rows[1:] > rows[:-1]]] = False
+        offsets = np.concatenate(([0], np.cumsum(keep)))[rows].astype(np.int32)
+        text = data[keep].tobytes()
+        none = ~np.array(lists.is_valid())
+        try:
+            text.decode()
+            found = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(text))
+            return pc.if_else(pa.array(none), pa.scalar(None, pa.string()), found)
+        except UnicodeDecodeError:  # ids that no text has
+            return pa.array([None if i is None else self.decode(i)[1:] for i in lists.to_pylist()], pa.string())
+
     def _ends(self, text: str, n: int) -> tuple[int, int] | None:
         """First forced cut behind all entry states, last one in the chunk; or none."""
         first = _CUT.search(text, self.longest - 1, n + 1)
@@ -320,8 +369,9 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str =
 
     def back(batches):
         v = vocabulary(path)
-        for b in batches:
-            texts = [None if i is None else v.decode(i)[1:] for i in b.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in others), pa.array(texts, pa.string())], [*others, text_col])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                b = batch.slice(at, 500)
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in others), v.texts(b.column(ids_col))], [*others, text_col])
 
     return encoded.select(*others).mapInArrow(back, encoded.select(*others).schema.add(text_col, "string"))
