@@ -14,13 +14,13 @@ from dayledger.functions.text import joined_text
 def has_class(*names: str) -> str:
     """Lookaheads for class tokens, in any order, quoted either way or not at all."""
     return "".join(
-        rf"""(?=[^>]*\s(?i:class)\s*+=\s*+(?:"[^"]*?|'[^']*?|)(?<![\w-]){n}(?![\w-]))"""
+        rf"""(?=[^<>]*\s(?i:class)\s*+=\s*+(?:"[^"<>]*?|'[^'<>]*?|)(?<![\w-]){n}(?![\w-]))"""
         for n in names
     )
 
 
 def attribute_starts(attribute: str, value: str) -> str:
-    return rf"""(?=[^>]*\s(?i:{attribute})\s*+=\s*+["']?{value})"""
+    return rf"""(?=[^<>]*\s(?i:{attribute})\s*+=\s*+["']?{value})"""
 
 
 def open_tag(name: str, *conditions: str) -> str:
@@ -36,17 +36,49 @@ def until(*stops: str) -> str:
     return rf"[^<]*+(?:<(?!(?i:{'|'.join(stops)}))[^<]*+)*+"
 
 
-def balanced(name: str, depth: int, stop: str = "") -> str:
-    """Content up to the first unmatched close of ``name``; nests up to ``depth``.
+def walk(html: Column, name: str, depth: Column) -> Column:
+    """(pos, done): characters before the close of ``name`` that leaves no element open, out
+    of ``depth`` open ones at the start. Nesting may be as deep as it likes; without such a
+    close ``pos`` is the whole length and ``done`` false."""
+    opens, closes = f"^<(?i:{name})\\b", f"^</(?i:{name})\\b"
 
-    ``stop`` is a condition on opening tags at the outermost level that end it too.
-    """
-    content = until(rf"/?{name}\b")
-    for level in range(depth, 0, -1):
-        refused = f"(?!{stop})" if stop and level == 1 else ""
-        inner = open_tag(name, refused) + content + close_tag(name)
-        content = rf"[^<]*+(?:(?:{inner}|<(?!(?i:/?{name}\b)))[^<]*+)*+"
-    return content
+    def step(acc: Column, piece: Column) -> Column:
+        at = acc["depth"] + F.when(piece.rlike(closes), -1).when(piece.rlike(opens), 1).otherwise(0)
+        done = acc["done"] | (piece.rlike(closes) & (at <= 0))
+        return F.struct(
+            at.alias("depth"),
+            (acc["pos"] + F.when(done, 0).otherwise(F.length(piece))).alias("pos"),
+            done.alias("done"),
+        )
+
+    start = F.struct(depth.cast("int").alias("depth"), F.lit(0).alias("pos"), F.lit(False).alias("done"))
+    return F.aggregate(tag_pieces(html, name), start, step)
+
+
+def tag_pieces(html: Column, name: str) -> Column:
+    """The text cut in front of every opening and closing tag of ``name``."""
+    return F.split(html, f"(?=</?(?i:{name})\\b)")
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed one time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def inside(html: Column, name: str, depth: Column | None = None) -> Column:
+    """Content up to the close that ends ``depth`` open elements, one unless given."""
+    found = walk(html, name, F.lit(1) if depth is None else depth)
+    return once(found, lambda w: F.substr(html, F.lit(1), w["pos"]))
+
+
+def element(html: Column, name: str) -> Column:
+    """The element that the text starts with, close tag included; '' when never closed."""
+
+    def whole(w: Column) -> Column:
+        last = F.regexp_extract(F.substr(html, w["pos"] + 1), f"^{close_tag(name)}", 0)
+        return F.when(w["done"], F.concat(F.substr(html, F.lit(1), w["pos"]), last)).otherwise("")
+
+    return once(walk(html, name, F.lit(0)), whole)
 
 
 ROW = open_tag("tr") + "(" + until(r"/?tr\b", r"/?table\b") + ")"

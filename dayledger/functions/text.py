@@ -132,8 +132,9 @@ def unescape_markup(text: Column) -> Column:
 
 
 def visible_markup(html: Column) -> Column:
-    """Drop comments, scripts and styles; make non-breaking blanks real."""
-    hidden = r"(?s)<(?:!--.*?-->|((?i:script|style))\b[^>]*+>.*?</(?i:\1)\s*+>)"
+    """Drop comments, scripts and styles; one never closed reaches to the end. Make
+    non-breaking blanks real."""
+    hidden = r"(?s)<(?:!--.*?(?:-->|\z)|((?i:script|style))\b[^>]*+>.*?(?:</(?i:\1)\s*+>|\z))"
     return F.replace(F.regexp_replace(html, hidden, ""), F.lit("&nbsp;"), F.lit("\xa0"))
 
 

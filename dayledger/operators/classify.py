@@ -5,7 +5,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.functions.markup import attribute_starts, balanced, has_class, open_tag, until
+from dayledger.functions.markup import attribute_starts, has_class, inside, open_tag, until
 from dayledger.functions.text import (
     decode_entities,
     joined_text,
@@ -26,7 +26,7 @@ SHORT_PAGE = 200
 MODERN_EVENT = open_tag("div", has_class("grid", "border"), attribute_starts("id", EVENT_PREFIX))
 LEGACY_EVENT = open_tag("a", attribute_starts("name", EVENT_PREFIX))
 _GRID_BORDER = open_tag("div", has_class("grid", "border"))
-_REPORT_DAY = open_tag("div", has_class(REPORT_DAY_CLASS)) + "(" + balanced("div", 8) + ")"
+_FROM_REPORT_DAY = "(?s)" + open_tag("div", has_class(REPORT_DAY_CLASS)) + "(.*+)"
 _STRONG = open_tag("strong") + "(" + until(r"/strong\b") + ")"
 _PRE = open_tag("pre") + "(" + until(r"/pre\b") + ")"
 
@@ -45,7 +45,7 @@ def _stages() -> tuple[dict[str, Column], ...]:
     by_markup = (
         F.when(F.lower(joined_text(strong)).contains(NO_EVENTS), "empty")
         .when(page.rlike(MODERN_EVENT), "modern")
-        .when(F.regexp_extract(page, _REPORT_DAY, 1).rlike(_GRID_BORDER), "modern")
+        .when(inside(F.regexp_extract(page, _FROM_REPORT_DAY, 1), "div").rlike(_GRID_BORDER), "modern")
         .when(page.rlike(LEGACY_EVENT), "legacy")
     )
     by_text = (

@@ -86,10 +86,11 @@ def _stages() -> tuple[dict[str, Column], ...]:
             "event_number": F.regexp_extract("event_ref", r"\d+", 0).try_cast("bigint"),
         },
         {
-            "_tail": F.when(is_modern, modern.tail(after_head)).otherwise(after_head),
+            "_tail": after_head,
             "_rows": _by_layout(None, legacy.rows(head)),
         },
         {
+            "_siblings": F.when(is_modern, modern.siblings(c("_tail"))),
             "_second": F.when(is_legacy, legacy.cells(rows, 1)),
             "_third": F.when(is_legacy, legacy.cells(rows, 2)),
             "_heading": plain_heading(
@@ -145,8 +146,8 @@ def _outputs() -> tuple[Column, ...]:
     in_pre = c("html_format") == "plaintext"
     is_reactor = c("category") == "Power Reactor"
     person_text = _by_layout(modern.person_text(head), legacy.cell_lines(c("_third"), 1))
-    text_html = _by_layout(modern.text_html(tail), legacy.text_html(tail))
-    unit_table = _by_layout(modern.unit_table(tail), legacy.unit_table(tail))
+    text_html = _by_layout(modern.text_html(tail, c("_siblings")), legacy.text_html(tail))
+    unit_table = _by_layout(modern.unit_table(tail, c("_siblings")), legacy.unit_table(tail))
     values = field_columns(c("_labels"), c("_values"))
     values["event_text"] = F.when(in_pre, plaintext.event_text(tail)).otherwise(
         clean_lines(text_html)

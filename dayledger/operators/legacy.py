@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dayledger.functions.markup import CELL, TABLE, open_tag, row_cells, table_rows, until
+from dayledger.functions.markup import CELL, TABLE, once, open_tag, row_cells, table_rows, until, walk
 from dayledger.functions.text import joined_text, spaced_text
 from dayledger.operators.classify import LEGACY_EVENT
 from dayledger.operators.pieces import (
@@ -16,7 +16,9 @@ from dayledger.operators.pieces import (
 # The tags, titles and table width of this layout.
 _TO_TABLE = r"^<(?:[^<]++|<(?i:br\b|/?a\b))*+" + TABLE
 _TEXT_HEADING = open_tag("p") + until(r"/?p\b", r"b\b") + open_tag("b") + "[^<]*Event Text"
-_TEXT_CELL = _TEXT_HEADING + "(?s:.*?)" + open_tag("table") + until(r"t[dh]\b", r"/table\b") + CELL
+_TO_TEXT_CELL = _TEXT_HEADING + "(?s:.*?)" + open_tag("table") + until(r"t[dh]\b", r"/table\b")
+_TEXT_CELL = _TO_TEXT_CELL + CELL
+_FROM_TEXT_CELL = "(?s)" + _TO_TEXT_CELL + open_tag("t[dh]") + "(.*+)"
 _WIDE_TABLE = r"""^[^>]*\s(?i:width)\s*+=\s*+["']?98"""
 _STATE_ON_LINE = r"(?m)^([^\S\n]*+(?i:region|city)[^\S\n]*+:[^\n]*?)State:"
 _DATE_LINE = r"(?im)^ ?(?:" + "|".join(DATE_LABELS) + r") ?:[^\n]*+"
@@ -79,8 +81,14 @@ def citation_text(third_left: Column) -> Column:
 
 
 def text_html(after_header: Column) -> Column:
-    """First cell of the table after the text heading."""
-    return F.regexp_extract(after_header, _TEXT_CELL, 1)
+    """First cell of the table after the text heading, with the tables inside it; a cell that
+    is never closed ends at the next one."""
+    rest = F.regexp_extract(after_header, _FROM_TEXT_CELL, 1)
+    unclosed = F.regexp_extract(after_header, _TEXT_CELL, 1)
+    return once(
+        walk(rest, "t[dh]|table", F.lit(1)),
+        lambda w: F.when(w["done"], F.substr(rest, F.lit(1), w["pos"])).otherwise(unclosed),
+    )
 
 
 def unit_table(after_header: Column) -> Column:

@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 from dayledger.functions.dates import long_date
 from dayledger.functions.markup import (
     TABLE,
-    balanced,
+    attribute_starts,
     close_tag,
+    element,
     has_class,
+    inside,
     open_tag,
+    tag_pieces,
     until,
 )
 from dayledger.functions.text import TAG, joined_text, spaced_text, unescape_markup
-from dayledger.operators.classify import MODERN_EVENT
+from dayledger.operators.classify import EVENT_PREFIX, MODERN_EVENT
 from dayledger.operators.pieces import (
     KNOWN_LABELS,
     SEP,
@@ -25,13 +28,13 @@ from dayledger.operators.pieces import (
 
 # The tags, classes and titles of this layout.
 _H1 = open_tag("h1") + "(" + until(r"/h1\b") + ")"
-_CONTAINER = "^" + open_tag("div") + balanced("div", 5) + close_tag("div")
-_SIBLINGS = "^" + balanced("div", 5, stop=has_class("grid"))
+_NEXT_EVENT = "^" + open_tag("div", has_class("grid"), attribute_starts("id", EVENT_PREFIX))
+_GRID = "^" + open_tag("div", has_class("grid"))
 _FIRST_HEADING = open_tag("div", has_class("th")) + "(" + until(r"/?div\b") + ")"
-_BORDER = open_tag("div", has_class("border")) + "(" + balanced("div", 4) + ")"
-_DIV = open_tag("div") + balanced("div", 4) + close_tag("div")
-_CITATION_BLOCK = r"(?s)^.*10 CFR Section(.*?)(?:</?(?i:div)\b|\z)"
-_PERSON_BLOCK = r"(?s)^.*Person ?\(Organization\):(.*?)(?:</?(?i:div)\b|\z)"
+_HEADING = open_tag("div", has_class("th")) + until(r"/?div\b") + close_tag("div")
+_BORDER = "^" + open_tag("div", has_class("border"))
+_CITATION_TITLE = "10 CFR Section"
+_PERSON_TITLE = r"Person ?\(Organization\):"
 
 
 def cuts(page: Column) -> Column:
@@ -50,12 +53,40 @@ def event_ref(fragment: Column) -> Column:
 
 def head(fragment: Column) -> Column:
     """The container; '' when it is never closed."""
-    return F.regexp_extract(fragment, _CONTAINER, 0)
-
-
-def tail(after_container: Column) -> Column:
-    """Siblings of the container, up to a grid block or the close of the parent."""
-    return F.regexp_extract(after_container, _SIBLINGS, 0)
+    return element(fragment, "div")
+
+
+def siblings(after_container: Column) -> Column:
+    """Places among the siblings of the container, which end at the next event or the close
+    of the parent: the inside of the first border block from ``start`` to before ``stop``, and
+    where the search for the unit ``table`` starts. 0 where there is none, -1 for a table
+    looked for no more; places count from 1."""
+
+    def step(acc: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"^<(?i:div)\b"), piece.rlike(r"^</(?i:div)\b")
+        top = acc["depth"] == 1
+        ends = acc["ends"] | (top & (closes | piece.rlike(_NEXT_EVENT)))
+        grid = top & piece.rlike(_GRID)
+        begins = (acc["start"] == 0) & top & ~grid & piece.rlike(_BORDER)
+        inner = F.length(F.regexp_extract(piece, "^" + open_tag("div"), 0))
+        finishes = (acc["start"] > 0) & (acc["stop"] == 0) & closes & (acc["depth"] == 2)
+        level = acc["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        table = (acc["table"] == 0) & (level == 1) & piece.rlike(open_tag("table"))
+        moved = {
+            "depth": level,
+            "pos": acc["pos"] + F.length(piece),
+            "start": F.when(begins, acc["pos"] + inner + 1).otherwise(acc["start"]),
+            "stop": F.when(finishes, acc["pos"] + 1).otherwise(acc["stop"]),
+            "table": F.when(table, acc["pos"] + 1)
+            .when((acc["table"] == 0) & grid, -1)
+            .otherwise(acc["table"]),
+        }
+        kept = [F.when(ends, acc[name]).otherwise(value).alias(name) for name, value in moved.items()]
+        return F.struct(*kept, ends.alias("ends"))
+
+    zero = {"depth": 1, "pos": 0, "start": 0, "stop": 0, "table": 0, "ends": False}
+    start = F.struct(*(F.lit(value).alias(name) for name, value in zero.items()))
+    return F.aggregate(tag_pieces(after_container, "div"), start, step)
 
 
 def category_text(container: Column) -> Column:
@@ -65,7 +96,8 @@ def category_text(container: Column) -> Column:
 def pair_text(html: Column) -> Column:
     """A bold label starts a line, its end is the separator; a value ends at the next
     label, line break or block end."""
-    one_line = F.replace(F.replace(html, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    fields = F.regexp_replace(html, _HEADING, "")
+    one_line = F.replace(F.replace(fields, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
     lines = F.regexp_replace(one_line, r"<(?i:b|br|/div|/p|/td|/li)\b[^>]*+>", "\n")
     parted = F.regexp_replace(lines, close_tag("b"), SEP)
     tidy = tidy_lines(unescape_markup(F.regexp_replace(parted, TAG, " ")))
@@ -108,20 +140,33 @@ def warnings(text: Column, labels: Column) -> Column:
     return F.when(F.size(F.array_except(labels, known)) > 0, lines)
 
 
+def _after(container: Column, title: str) -> Column:
+    """HTML after the last ``title``, up to the end of its field block: the child of the
+    container, however deep the title stands in it."""
+    before = F.regexp_extract(container, f"(?s)^(.*){title}", 1)
+    after = F.regexp_extract(container, f"(?s)^.*{title}(.*+)", 1)
+    opened = F.regexp_count(before, F.lit(r"<(?i:div)\b"))
+    closed = F.regexp_count(before, F.lit(r"</(?i:div)\b"))
+    return inside(after, "div", F.greatest(opened - closed - 1, F.lit(1)))
+
+
 def citation_text(container: Column) -> Column:
     """Text after the last section label, up to the end of its block."""
-    return spaced_text(F.regexp_extract(container, _CITATION_BLOCK, 1), " ")
+    return spaced_text(_after(container, _CITATION_TITLE), " ")
 
 
 def person_text(container: Column) -> Column:
-    return spaced_text(F.regexp_extract(container, _PERSON_BLOCK, 1), "\n")
+    return spaced_text(_after(container, _PERSON_TITLE), "\n")
 
 
-def text_html(siblings: Column) -> Column:
-    """Inside of the first border block."""
-    return F.regexp_extract(siblings, _BORDER, 1)
+def text_html(after_container: Column, places: Column) -> Column:
+    """Inside of the first border block; one never closed reaches to the last sibling."""
+    stop = F.when(places["stop"] > 0, places["stop"]).otherwise(places["pos"] + 1)
+    inner = F.substr(after_container, places["start"], stop - places["start"])
+    return F.when(places["start"] > 0, inner).otherwise("")
 
 
-def unit_table(siblings: Column) -> Column:
+def unit_table(after_container: Column, places: Column) -> Column:
     """First table among the siblings, none inside other blocks."""
-    return F.regexp_extract(F.regexp_replace(siblings, _DIV, ""), TABLE, 0)
+    html = F.substr(after_container, places["table"])
+    return F.when(places["table"] > 0, F.regexp_extract(html, TABLE, 0)).otherwise("")

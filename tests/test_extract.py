@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pages as p
 import pytest
@@ -223,3 +224,52 @@ def test_plaintext_fields(spark):
     assert [(u["unit"], u["scram_code"], u["initial_power"], u["current_power"], u["current_rx_mode"])
             for u in e["reactor_units"]] == [
         (2, "N", 98, 97, "Power Operation"), (3, "", 0, 0, "Refueling")]
+
+
+DEEP = 12
+
+
+def test_report_day_at_any_depth(spark):
+    html = "<div class=nrc-event-report-day>" + "<div>" * DEEP + "<div class='grid border'></div>" + "</div>" * DEEP + "</div>"
+    assert detect_format(frame(spark, html)).first()["html_format"] == "modern"
+
+
+def test_modern_nested_blocks(spark):
+    def deep(x):
+        return "<div>" * DEEP + x + "</div>" * DEEP
+
+    more = (
+        "<div>" + deep("<b>City:</b> Oslo<br>") + "</div>"
+        "<div>10 CFR Section:<div>50.72(b) - One</div></div>"
+        "<div><b>Person (Organization):</b><div>Ann Able (R9DO)</div></div>"
+    )
+    table = "<table><tr><th>Unit</th></tr><tr><td>4" + "<td>x" * 6 + "</table>"
+    after = (
+        "<div><div class='border'>INNER</div></div>" + table + "<div class='grid'>plain grid</div>"
+        "<div class='border'>real " + deep("text") + " end</div>"
+    )
+    heading = "Power Reactor</div><div class='th'><b>Odd:</b> title"
+    first, second = events(
+        spark, p.modern_page(p.modern_event("7", heading=heading, more=more, after=after), p.modern_event("8"))
+    )
+    assert (first["city"], first["parse_warnings"]) == ("Oslo", [])
+    assert first["cfr_sections"] == [{"code": "50.72(b)", "description": "One"}]
+    assert [(x["name"], x["organization"]) for x in first["persons_notified"]] == [("Ann Able", "R9DO")]
+    assert first["event_text"] == "real text end"
+    assert [u["unit"] for u in first["reactor_units"]] == [4]
+    assert second["event_text"] == ""
+
+
+def test_legacy_text_around_an_inner_table(spark):
+    text = "one <table><tr><td>cell</td></tr></table> two"
+    (e,) = events(spark, p.legacy_event("9", after=p.legacy_text(text)))
+    assert e["event_text"] == "one cell two"
+
+
+@pytest.mark.parametrize("broken", ["<!-- x ", "<script>"])
+def test_unclosed_comments_and_scripts_take_linear_time(spark, broken):
+    html = broken * (120_000 // len(broken))
+    detect_format(frame(spark, "warm")).collect()
+    began = time.monotonic()
+    detect_format(frame(spark, html)).collect()
+    assert time.monotonic() - began < 4
