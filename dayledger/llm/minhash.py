@@ -8,9 +8,11 @@ level by halving the block. A document takes the points below its weight, so two
 agree in a place with probability equal to their weighted Jaccard similarity, without bias.
 Only arrivals below a bound are drawn, and the bound doubles until every place is filled.
 
-Bands of six places are buckets. A bucket's members are compared with one of them, in rounds
-with changing members, until few pairs of one bucket in two classes are open. These are then
-compared each: by their signatures, of which pairs under 0.8 by 3.5 deviations are left, and the rest by
+Each place is kept as 8 bits and six places are one whole number. The first 36 of these are
+bands, that is buckets; the rest only sharpen the signature. A bucket's members are compared
+with one of them, in rounds with changing members, until few pairs of one bucket in two
+classes are open. These are then compared each, in the first bucket that they share: by their
+lengths and signatures, of which pairs under 0.8 by 3.5 deviations are left, and the rest by
 their texts. So each pair that shares a bucket is compared or in one class already, and
 no group of copies is expanded into its pairs. A pair at similarity 0.8 misses
 all 36 bands with probability 2e-5. Every comparison is the exact overlap of multisets.
@@ -29,6 +31,8 @@ from dayledger.llm.words import GOLDEN, hashes, mix, pieces_of_batches, shingles
 from dayledger.session import write_and_reread
 
 BANDS, ROWS, SIMILARITY, RUN = 36, 6, 0.8, 5
+#: Bands' worth of places in a signature, over those that are buckets.
+MORE = 1.5
 _U = np.uint64
 
 
@@ -81,14 +85,17 @@ def bag_signatures(element, weight, doc, n_docs: int, slots: int) -> np.ndarray:
 _M3, _M4 = _U(0xD6E8FEB86659FD93), _U(0xA0761D6478BD642F)
 
 
-def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
-    """One 64-bit key for each band of ``rows`` places, the band's number mixed in."""
+def packed(signature: np.ndarray, rows: int) -> np.ndarray:
+    """Whole numbers of ``rows`` places (6 at most) each, 8 bits a place under the number's index.
+
+    Two documents without anything in common agree in one of them by chance 2^(-8 * rows).
+    """
     n, slots = signature.shape
-    bits = np.ascontiguousarray(signature).view(_U).reshape(n, slots // rows, rows)
-    key = np.broadcast_to(np.arange(1, slots // rows + 1, dtype=_U), bits.shape[:2]).copy()
+    bits = (mix(np.ascontiguousarray(signature).view(_U)) & _U(0xFF)).reshape(n, slots // rows, rows)
+    out = np.broadcast_to(np.arange(slots // rows, dtype=_U) << _U(48), bits.shape[:2]).copy()
     for j in range(rows):
-        key = mix(key * GOLDEN + bits[:, :, j])
-    return key.view(np.int64)
+        out |= bits[:, :, j] << _U(8 * j)
+    return out.view(np.int64)
 
 
 def bags(lists: list[list[str]], run: int):
@@ -110,16 +117,15 @@ def _lists(values: np.ndarray, total: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[total > 0].ravel()))
 
 
-def _signer(bands: int, rows: int, run: int):
+def _signer(slots: int, rows: int, run: int):
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, lists in pieces_of_batches(batches, "text"):
             element, weight, doc = bags(lists, run)
             total = np.bincount(doc, weight, len(lists)).astype(np.int64)
-            signature = bag_signatures(element, weight, doc, len(lists), bands * rows)
-            short = (mix(signature.view(_U)) & _U(0xFF)).astype(np.uint8).view(np.int8)
+            signature = packed(bag_signatures(element, weight, doc, len(lists), slots), rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k"), batch.column("id"), _lists(band_keys(signature, rows), total), _lists(short, total)],
-                ["k", "id", "bands", "short"],
+                [batch.column("k"), batch.column("id"), _lists(signature, total), pa.array(total)],
+                ["k", "id", "places", "total"],
             )
 
     return sign
@@ -254,18 +260,23 @@ def one_of_each(
 
 
 def _classes(docs, id_col, text_col, bands, rows, similarity, run) -> tuple[DataFrame, DataFrame]:
-    """Distinct texts (n, k, id, bands), and (k, class_id) of those linked with another text."""
+    """Distinct texts (n, k, id, places, total), and (k, class_id) of those linked with another text."""
+    if rows > 6:
+        raise ValueError("a band has six places at most")
     texts = _texts(docs, id_col, text_col)
+    slots = int(MORE * bands) * rows
     signed = texts.select(_key(F.col("text")).alias("k"), "id", "text").mapInArrow(
-        _signer(bands, rows, run), "k binary, id long, bands array<long>, short array<tinyint>"
+        _signer(slots, rows, run), "k binary, id long, places array<long>, total long"
     )
     nodes = write_and_reread(
         signed.groupBy("k")
-        .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("short").alias("short"))
-        .select(F.xxhash64("k").alias("n"), "k", "id", "bands", "short"),
+        .agg(F.min("id").alias("id"), F.first("places").alias("places"), F.first("total").alias("total"))
+        .select(F.xxhash64("k").alias("n"), "k", "id", "places", "total"),
         "texts",
     )
-    members = nodes.select(F.col("n").alias("x"), F.col("id").alias("x_id"), F.explode("bands").alias("bucket"))
+    members = nodes.select(
+        F.col("n").alias("x"), F.col("id").alias("x_id"), F.explode(F.slice("places", 1, bands)).alias("bucket")
+    )
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     crowded = write_and_reread(members.join(sizes, "bucket"), "buckets")
     degrees = crowded.groupBy("x").agg(F.sum("size").alias("degree"))
@@ -273,9 +284,8 @@ def _classes(docs, id_col, text_col, bands, rows, similarity, run) -> tuple[Data
     wanted = crowded.select(F.col("x").alias("n"), F.struct("x_id").alias("key")).distinct()
     held = texts.select(F.xxhash64(_key(F.col("text"))).alias("n"), F.struct(F.col("id").alias("x_id")).alias("key"), "text")
     held = write_and_reread(held.join(wanted, ["n", "key"]).select("n", F.col("key.x_id").alias("id"), "text"), "candidates")
-    slots = bands * rows
     alike = similarity * slots - 3.5 * (similarity * (1 - similarity) * slots) ** 0.5
-    first = _linked(crowded, held, nodes.select(F.col("n").alias("x"), "short"), alike, similarity, run)
+    first = _linked(crowded, held, nodes.select(F.col("n").alias("x"), "places", "total"), slots - alike, similarity, run)
     named = nodes.select("n", "k", "id").join(first, nodes["n"] == first["node"], "inner")
     least = named.groupBy("label").agg(F.min("id").alias("class_id"))
     classes = write_and_reread(named.join(least, "label").select("k", "class_id"), "classes")
@@ -283,7 +293,7 @@ def _classes(docs, id_col, text_col, bands, rows, similarity, run) -> tuple[Data
 
 
 def _linked(
-    crowded: DataFrame, held: DataFrame, shorts: DataFrame, alike: float, similarity: float, run: int
+    crowded: DataFrame, held: DataFrame, signatures: DataFrame, unlike: float, similarity: float, run: int
 ) -> DataFrame:
     """(node, label) of all texts that verified links connect.
 
@@ -291,8 +301,8 @@ def _linked(
     members of other classes: first the one that shares most buckets with others, as the
     original of edited copies does, then by a draw that favours such members. Rounds go on
     while they settle a third of the open pairs; then the open pairs that are left, members of
-    one bucket in two classes, are all compared: by the short signatures inside the join, and
-    word by word if at least ``alike`` places agree.
+    one bucket in two classes, are all compared: by the signatures inside the join, and word
+    by word if at most ``unlike`` places differ.
     """
     spark = crowded.sparkSession
     links = spark.createDataFrame([], "u long, v long, similarity double")
@@ -310,7 +320,7 @@ def _linked(
         if not open_pairs:
             return classes
         last = before is not None and 3 * open_pairs > 2 * before
-        pairs = _rest(named, mixed, shorts, alike) if last else _to_pivot(named, mixed, turn)
+        pairs = _rest(named, mixed, signatures, unlike, similarity) if last else _to_pivot(named, mixed, turn)
         more = write_and_reread(_verified(pairs, held, similarity, run), "links")
         links = links.union(more)
         classes = components(links.select("u", "v"))
@@ -348,24 +358,30 @@ def _to_pivot(named: DataFrame, mixed: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def _rest(named: DataFrame, mixed: DataFrame, shorts: DataFrame, alike: float) -> DataFrame:
-    """Open pairs that may be links: each member outside its bucket's largest class with those of other classes."""
-    inside = named.join(mixed.select("bucket", "large"), "bucket").join(shorts, "x")
+def _rest(named: DataFrame, mixed: DataFrame, signatures: DataFrame, unlike: float, similarity: float) -> DataFrame:
+    """Open pairs that may be links: each member outside its bucket's largest class with those
+    of other classes, in the first bucket that the two share."""
+    inside = named.join(mixed.select("bucket", "large"), "bucket").join(signatures, "x")
     outside = inside.where("c <> large").select(
-        "bucket",
-        F.col("x").alias("y"),
-        F.col("x_id").alias("y_id"),
-        F.col("c").alias("y_c"),
-        F.col("short").alias("y_short"),
+        "bucket", *(F.col(c).alias(f"y_{c}") for c in ("x", "x_id", "c", "places", "total"))
     )
-    same = F.aggregate(
-        F.zip_with("short", "y_short", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, e: n + e
+    place_in_list = F.shiftright("bucket", 48) + 1
+    first = F.array_position(F.zip_with("places", "y_places", lambda a, b: a == b), F.lit(True)) == place_in_list
+    differ = F.aggregate(
+        F.zip_with("places", "y_places", lambda a, b: a.bitwiseXOR(b)), F.lit(0), lambda n, d: n + _bytes_set(d)
     )
+    lengths = F.least("total", "y_total") >= similarity * F.greatest("total", "y_total")
     return (
         inside.join(outside, "bucket")
-        .where(F.expr("c <> y_c and (c = large or x < y)") & (same >= alike))
+        .where(F.expr("c <> y_c and (c = large or x < y_x)") & lengths & first & (differ <= unlike))
         .select(
-            F.col("y").alias("x"), F.col("y_id").alias("x_id"), F.col("x").alias("p"), F.col("x_id").alias("p_id")
+            F.col("y_x").alias("x"), F.col("y_x_id").alias("x_id"), F.col("x").alias("p"), F.col("x_id").alias("p_id")
         )
-        .distinct()
     )
+
+
+def _bytes_set(d: Column) -> Column:
+    """How many of the eight bytes of ``d`` are not 0."""
+    for n in (4, 2, 1):
+        d = d.bitwiseOR(F.shiftrightunsigned(d, n))
+    return F.bit_count(d.bitwiseAND(F.lit(0x0101010101010101)))
