@@ -158,6 +158,53 @@ def test_licences(table):
     assert got == {1: ["Apache-2.0"], 2: ["GPL-3.0-only"], 3: ["MIT"], 4: [], 5: [], 6: []}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+BSD = """Copyright (c) 2020, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above
+   copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer."""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version."""
+
+
+def test_wrapped_licences(table):
+    def comment(mark, text):
+        return "\n".join(f"{mark} {x}".rstrip() for x in text.split("\n"))
+
+    texts = {
+        "MIT": [MIT, "/*\n" + comment(" *", MIT) + "\n */", comment("#", MIT), MIT.replace("\n", "\r\n")],
+        "BSD-2-Clause": [BSD.split("\n\n", 1)[1], comment("//", BSD.split("\n\n", 1)[1])],
+        "proprietary BSD-2-Clause": [BSD, comment("#", BSD)],
+        "GPL-3.0-or-later": [GPL.format(":", ",", 3), comment("//", GPL.format(";", ";", 3))],
+        "GPL-2.0-or-later": [GPL.format(";", ";", 2), GPL.format(";", ",", 2)],
+        "GPL-2.0-only": [GPL.split(" either")[0].format(";", ";") + " version 2\nof the License."],
+        "AGPL-3.0-or-later": [GPL.format(";", ",", 3).replace("GNU General", "GNU Affero General")],
+        "SPDX": ["SPDX-License-Identifier: MIT", "// SPDX-License-Identifier: GPL-2.0+\n// Copyright 2020 Some Body\nint x;"],
+        "Apache-2.0": ["Copyright 2020 Some Body\nLicensed under the Apache\nLicense, Version 2.0"],
+        "": ["Redistributions must hold the\ncopyright notice"],
+        "MIT CC-BY-4.0": ["Code released under the MIT License\nText licensed under CC BY 4.0"],
+    }
+    cases = [(want, text) for want, group in texts.items() for text in group]
+    rows = table([(i, text) for i, (_, text) in enumerate(cases)])
+    got = {r["doc_id"]: " ".join(r["licences"]) for r in licenses.scan(rows).collect()}
+    assert [(got[i], text) for i, (_, text) in enumerate(cases)] == cases
+
+
 def test_encoding_does_not_depend_on_chunks(spark, odd):
     want = {tuple(r) for r in maxplus.encode(odd, PIECE_BPE).select("doc_id", F.hash("ids")).collect()}
     nospace = odd.limit(1).select("doc_id", F.lit("abc\u4e2d" * 70).alias("text"))
