@@ -1,12 +1,11 @@
 """Passages that repeat across documents, found by chaining shared word runs.
 
-Seeds are runs of five words, thinned to the least hash of each ``window`` neighbours, so any
-shared stretch of ``window + 4`` words shares a seed. A seed's first holder is its anchor, and
-every other holder is matched with the anchor alone: matches grow with the text, however
-often a passage repeats. The matches of one document with one anchor are chained in order: a
-Fenwick tree over the anchor's places gives the best chain that ends before a match, less a
-cost for the gap. Chains are then aligned word by word against the anchor's passage, across
-gaps and out over both ends, which finds the passage's fuzzy borders.
+Seeds are all runs of five words. First, every holder of a seed is matched with the seed's
+first holder, its anchor: matches grow with the text, however often a passage repeats. The
+matches of one document with one anchor are chained in order: a Fenwick tree over the
+anchor's places gives the best chain that ends before a match, less a cost for the gap.
+Chains are then aligned word by word against the anchor's passage, across gaps and out over
+both ends with insertions and deletions, which finds the passage's fuzzy borders.
 
 A document loses the stretches that chains cover with a share of ``similarity`` equal words,
 where they add up to ``min_words`` words or more; the first holder keeps them. "First" is by
@@ -21,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm.words import _WORD, hashes, pieces_of_batches, shingles, words_of
-from dayledger.session import write_and_reread
+from dayledger.session import broadcast_if_small, write_and_reread
 
-RUN, WINDOW, MIN_WORDS, SIMILARITY = 5, 16, 50, 0.8
-MAX_GAP, FLANK, LEAST = 64, 32, 15
+RUN, WINDOW, MIN_WORDS, SIMILARITY = 5, 1, 50, 0.8
+MAX_GAP, FLANK, LEAST = 64, 64, 15
 
 
 def seed_places(s: np.ndarray, window: int) -> np.ndarray:
@@ -103,14 +102,29 @@ def chains(x: list[int], a: list[int], max_gap: int = MAX_GAP) -> list[list[int]
     return out
 
 
+def thinned(x: np.ndarray, a: np.ndarray, every: int = 8) -> tuple[list[int], list[int]]:
+    """Matches without most of the inner ones of a diagonal: all words between those left are equal."""
+    if len(x) <= every:
+        return x.tolist(), a.tolist()
+    order = np.lexsort((x, a - x))
+    dx, da = np.diff(x[order]), np.diff(a[order])
+    joined = np.concatenate(([False], (dx == 1) & (da == 1), [False]))
+    keep = ~(joined[:-1] & joined[1:]) | (x[order] % every == 0)
+    left = np.sort(order[keep])
+    return x[left].tolist(), a[left].tolist()
+
+
 def _chainer():
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by (row, anchor, place); a group may go on in the next batch."""
         held, key = ([], []), None
 
         def close(out):
-            for found in chains(*held) if len(held[0]) > 1 else []:
-                xs, ys = [held[0][i] for i in found], [held[1][i] for i in found]
+            if sum(map(len, held[0])) < 2:
+                return
+            x, a = thinned(np.concatenate(held[0]), np.concatenate(held[1]))
+            for found in chains(x, a):
+                xs, ys = [x[i] for i in found], [a[i] for i in found]
                 out.append((*key, ys[0], ys[-1], xs, ys))
 
         for batch in batches:
@@ -124,8 +138,8 @@ def _chainer():
                 if now != key:
                     close(out)
                     held, key = ([], []), now
-                held[0].extend(x[i:j].tolist())
-                held[1].extend(a[i:j].tolist())
+                held[0].append(x[i:j])
+                held[1].append(a[i:j])
             yield _chain_rows(out)
         out = []
         close(out)
@@ -170,15 +184,26 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(before[-1])
 
 
-def _reach(same: np.ndarray) -> int:
-    """How far a run of equal (+1) and unequal (-2) words is worth following; 6 below the best ends it."""
-    if not len(same):
-        return 0
-    total = np.cumsum(np.where(same, 1, -2))
-    low = np.flatnonzero(np.maximum.accumulate(total) - total > 6)
-    total = total[: low[0]] if len(low) else total
-    best = int(total.argmax())
-    return best + 1 if total[best] > 0 else 0
+def _reach(x: np.ndarray, a: np.ndarray) -> tuple[int, int, int]:
+    """(words of x, words of a, equal words) of the best start: 1 an equal word, -2 an edit."""
+    n = min(len(x), len(a))
+    differ = np.flatnonzero(x[:n] != a[:n])
+    run = int(differ[0]) if len(differ) else n
+    if run == n:
+        return n, n, n
+    x, a = x[run:], a[run:]
+    unit = 1 << 10  # score in units, equal words below
+    gap = 2 * unit * np.arange(len(a) + 1)
+    row = -gap
+    best, at = 0, (0, 0)
+    for i, v in enumerate(x, 1):
+        now = row - 2 * unit
+        now[1:] = np.maximum(now[1:], row[:-1] + np.where(a == v, unit + 1, -2 * unit))
+        row = np.maximum.accumulate(now + gap) - gap
+        j = int(row.argmax())
+        if row[j] > best:
+            best, at = int(row[j]), (i, j)
+    return run + at[0], run + at[1], run + best % unit
 
 
 def align(x: np.ndarray, a: np.ndarray, xs: list[int], ys: list[int]) -> list[tuple[int, int, int, int]]:
@@ -190,22 +215,18 @@ def align(x: np.ndarray, a: np.ndarray, xs: list[int], ys: list[int]) -> list[tu
 
     def close(last: int, equal: int) -> None:
         x0, y0, x1, y1 = xs[first], ys[first], xs[last] + RUN, ys[last] + RUN
-        n = min(x0, y0, FLANK)
-        left = _reach((x[x0 - n : x0] == a[y0 - n : y0])[::-1])
-        n = min(len(x) - x1, len(a) - y1, FLANK)
-        right = _reach(x[x1 : x1 + n] == a[y1 : y1 + n])
-        more = int((x[x0 - left : x0] == a[y0 - left : y0]).sum() + (x[x1 : x1 + right] == a[y1 : y1 + right]).sum())
-        out.append((x0 - left, x1 + right, y1 - y0 + left + right, equal + RUN + more))
+        left, left_a, more = _reach(x[max(0, x0 - FLANK) : x0][::-1], a[max(0, y0 - FLANK) : y0][::-1])
+        right, right_a, after = _reach(x[x1 : x1 + FLANK], a[y1 : y1 + FLANK])
+        out.append((x0 - left, x1 + right, y1 - y0 + left_a + right_a, equal + RUN + more + after))
 
     for i in range(1, len(xs)):
         dx, dy = xs[i] - xs[i - 1], ys[i] - ys[i - 1]
         if max(dx, dy) > MAX_GAP:
             close(i - 1, equal)
             first, equal = i, 0
-        elif dx == dy:
-            equal += int((x[xs[i - 1] : xs[i]] == a[ys[i - 1] : ys[i]]).sum())
         else:
-            equal += _common(x[xs[i - 1] : xs[i]], a[ys[i - 1] : ys[i]])
+            mine, other = x[xs[i - 1] : xs[i]], a[ys[i - 1] : ys[i]]
+            equal += dx if dx == dy and (mine == other).all() else _common(mine, other)
     close(len(xs) - 1, equal)
     return out
 
@@ -221,15 +242,36 @@ def covered(n: int, parts: Iterable[tuple[int, int]], min_words: int) -> list[tu
     return [(s, e) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()) if e - s >= min_words]
 
 
-def _cleaner(min_words: int, similarity: float):
+def _aligner(similarity: float):
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Accepted parts of each row's chains."""
+        for batch in batches:
+            out: list[tuple] = []
+            for row, text, hits in zip(*(batch.column(c) for c in ("row", "text", "hits"))):
+                x = hashes(words_of(text.as_py()))
+                for hit in hits.as_py():
+                    a = hashes(hit["passage"].split(" "))
+                    for start, end, span, equal in align(x, a, hit["xs"], [y - hit["from"] for y in hit["ys"]]):
+                        if end - start >= LEAST and equal >= similarity * max(end - start, span):
+                            out.append((row.as_py(), start, end, hit["other_id"]))
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            columns = zip(*out) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["row", "start", "end", "other_id"]
+            )
+
+    return parts
+
+
+def _cleaner(min_words: int):
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, found = [], []
-            for text, hits in zip(batch.column("text"), batch.column("hits")):
+            for text, parts in zip(batch.column("text"), batch.column("parts")):
                 text = text.as_py()
                 spans, keep = [], text
-                if hits.is_valid and text:
-                    spans, keep = _cut(text, hits.as_py(), min_words, similarity)
+                if parts.is_valid and text:
+                    spans, keep = _cut(text, parts.as_py(), min_words)
                 texts.append(keep)
                 found.append(spans)
             yield pa.RecordBatch.from_arrays(
@@ -242,24 +284,40 @@ def _cleaner(min_words: int, similarity: float):
 _FOUND = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("same_as", pa.list_(pa.int64()))]))
 
 
-def _cut(text: str, hits: list[dict], min_words: int, similarity: float):
+def _cut(text: str, parts: list[dict], min_words: int):
     places = [m.span() for m in _WORD.finditer(text)]
-    x = hashes([text[s:e] for s, e in places])
-    parts = []
-    for hit in hits:
-        a = hashes(hit["passage"].split(" "))
-        for start, end, span, equal in align(x, a, hit["xs"], [y - hit["from"] for y in hit["ys"]]):
-            if end - start >= LEAST and equal >= similarity * max(end - start, span):
-                parts.append((start, end, hit["other_id"]))
     spans, keep, last = [], [], 0
-    for s, e in covered(len(x), [p[:2] for p in parts], min_words):
-        others = sorted({o for a, b, o in parts if a < e and b > s and o is not None})
+    for s, e in covered(len(places), [(p["start"], p["end"]) for p in parts], min_words):
+        others = sorted({p["other_id"] for p in parts if p["start"] < e and p["end"] > s and p["other_id"] is not None})
         spans.append({"start": places[s][0], "end": places[e - 1][1], "same_as": others})
         keep.append(text[last : places[s][0]])
         last = places[e][0] if e < len(places) else len(text)
     return spans, "".join([*keep, text[last:]])
 
 
+def _parts(matches: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
+    """Accepted parts (row, start, end, other_id) of the chains of matches (row, anchor, x, a)."""
+    dealt = matches.repartition("row").sortWithinPartitions("row", "anchor", "x", "a")
+    chained = write_and_reread(
+        dealt.mapInArrow(_chainer(), "row long, anchor long, low int, high int, xs array<int>, ys array<int>"), "chains"
+    )
+    wanted = chained.select("row").union(chained.select("anchor")).distinct()
+    held = named.join(broadcast_if_small(wanted), "row", "left_semi")
+    holders = held.select(F.col("row").alias("anchor"), F.col("id").alias("other_id"), "text")
+    fetched = chained.join(holders, "anchor").mapInArrow(
+        _fetch, "row long, xs array<int>, ys array<int>, other_id long, passage string, from int"
+    )
+    hits = fetched.groupBy("row").agg(F.collect_set(F.struct("xs", "ys", "other_id", "passage", "from")).alias("hits"))
+    found = held.select("row", "text").join(hits, "row").mapInArrow(
+        _aligner(similarity), "row long, start int, end int, other_id long"
+    )
+    return write_and_reread(found.distinct(), "parts")
+
+
+def _by_row(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("row").agg(F.collect_set(F.struct("start", "end", "other_id")).alias("parts"))
+
+
 def repeated_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -291,26 +349,20 @@ def repeated_passages(
         .agg(F.count("*").alias("n"), F.min("row").alias("anchor"), F.min_by("place", first).alias("a"))
         .where("n > 1")
     )
-    matches = (
-        seeds.join(anchors, "seed")
-        .where("row <> anchor or place <> a")
-        .select("row", "anchor", F.expr("place div 2").cast("int").alias("x"), F.expr("a div 2").cast("int").alias("a"))
-        .repartition("row")
-        .sortWithinPartitions("row", "anchor", "x", "a")
+    shared = write_and_reread(
+        seeds.join(anchors, "seed").select(
+            "seed", "row", "anchor", F.expr("place div 2").cast("int").alias("x"), F.expr("a div 2").cast("int").alias("a")
+        ),
+        "shared-seeds",
     )
-    chained = write_and_reread(
-        matches.mapInArrow(_chainer(), "row long, anchor long, low int, high int, xs array<int>, ys array<int>"), "chains"
-    )
-    holders = named.select(F.col("row").alias("anchor"), F.col("id").alias("other_id"), "text")
-    fetched = chained.join(holders, "anchor").mapInArrow(
-        _fetch, "row long, xs array<int>, ys array<int>, other_id long, passage string, from int"
-    )
-    hits = fetched.groupBy("row").agg(F.collect_set(F.struct("xs", "ys", "other_id", "passage", "from")).alias("hits"))
+    parts = _parts(shared.where("row <> anchor or x <> a").select("row", "anchor", "x", "a"), named, similarity)
     packed = docs.select(row, F.struct(*(F.col(f"`{c}`") for c in own)).alias("all"))
-    whole = packed.join(hits, "row", "left").select("all", F.col(f"all.`{text_col}`").cast("string").alias("text"), "hits")
+    whole = packed.join(_by_row(parts), "row", "left").select(
+        "all", F.col(f"all.`{text_col}`").cast("string").alias("text"), "parts"
+    )
     kind = whole.schema["all"].dataType.simpleString()
     cleaned = whole.mapInArrow(
-        _cleaner(min_words, similarity),
+        _cleaner(min_words),
         f"all {kind}, clean string, passages array<struct<start:int,end:int,same_as:array<bigint>>>",
     )
     fresh = {text_col: F.col("clean")}

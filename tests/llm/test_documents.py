@@ -100,6 +100,27 @@ def test_passages_are_cut_but_once(table):
         assert found["same_as"]
 
 
+def edited(words, share, rng):
+    """``words`` with a share of substitutions, insertions and deletions."""
+    out = list(words)
+    for i in sorted(rng.sample(range(len(out)), round(share * len(out))), reverse=True):
+        kind = rng.randrange(3)
+        out[i : i + (kind != 1)] = [] if kind == 2 else [f"edit{rng.randrange(10**9)}"]
+    return out
+
+
+@pytest.mark.parametrize("n, share, least", [(60, 0.1, 38), (80, 0.1, 39), (60, 0.15, 34), (80, 0.15, 38)])
+def test_recall_of_edited_passages(table, n, share, least):
+    rng, rows = random.Random(n), []
+    for k in range(40):
+        passage = prose(5000 + k, n)
+        for d, text in ((2 * k, passage), (2 * k + 1, edited(passage, share, rng))):
+            rows.append((d, " ".join(prose(6000 + d, 60) + text + prose(7000 + d, 60))))
+    got = {r["doc_id"]: len(r["text"].split()) for r in passages.repeated_passages(table(rows)).collect()}
+    size = {d: len(t.split()) for d, t in rows}
+    assert sum(any(size[d] - got[d] >= 0.8 * n for d in (2 * k, 2 * k + 1)) for k in range(40)) >= least
+
+
 def test_passages_on_odd_rows(odd):
     got = passages.repeated_passages(odd)
     assert got.columns == [*odd.columns, "passages"] and got.count() == 9
