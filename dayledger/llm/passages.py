@@ -7,6 +7,11 @@ anchor's places gives the best chain that ends before a match, less a cost for t
 Chains are then aligned word by word against the anchor's passage, across gaps and out over
 both ends with insertions and deletions, which finds the passage's fuzzy borders.
 
+A passage of common sentences has its seeds anchored at many documents, and no chain with
+the one that holds it whole. So shared seeds that no passage covers are taken again as pairs,
+``NEAR`` to ``FAR`` words apart: again with the pair's first holder, and what is open after
+that with every earlier holder.
+
 A document loses the stretches that chains cover with a share of ``similarity`` equal words,
 where they add up to ``min_words`` words or more; the first holder keeps them. "First" is by
 the hash of id and text, which no order of rows changes.
@@ -19,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.words import _WORD, hashes, pieces_of_batches, shingles, words_of
+from dayledger.llm.words import _WORD, GOLDEN, hashes, mix, pieces_of_batches, shingles, words_of
 from dayledger.session import broadcast_if_small, write_and_reread
 
 RUN, WINDOW, MIN_WORDS, SIMILARITY = 5, 1, 50, 0.8
 MAX_GAP, FLANK, LEAST = 64, 64, 15
+#: Words between the two seeds of a pair.
+NEAR, FAR = 20, 40
 
 
 def seed_places(s: np.ndarray, window: int) -> np.ndarray:
@@ -263,6 +270,45 @@ def _aligner(similarity: float):
     return parts
 
 
+def _closer(min_words: int):
+    def close(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = []
+            for parts in batch.column("parts"):
+                both = [(p["start"], p["end"]) for p in parts.as_py()]
+                found = covered(max(e for _, e in both), both, min_words)
+                spans.append([{"start": s, "end": e} for s, e in found])
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(spans, kind)], ["row", "spans"])
+
+    return close
+
+
+def _pairer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a row's seeds, ``NEAR`` to ``FAR`` words apart; rows come with their seeds by place."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            seeds = batch.column("seeds")[i].values
+            place = seeds.field("x").to_numpy()
+            seed = seeds.field("seed").to_numpy().view(np.uint64)
+            fresh = seeds.field("fresh").to_numpy(zero_copy_only=False)
+            low, high = np.searchsorted(place, place + NEAR), np.searchsorted(place, place + FAR, "right")
+            count = high - low
+            u = np.repeat(np.arange(len(place)), count)
+            v = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
+            row = batch.column("row")[i].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(mix(seed[u] * GOLDEN + seed[v]).view(np.int64)),
+                    pa.array(np.full(len(u), row, np.int64)),
+                    pa.array(place[u]),
+                    pa.array(place[v]),
+                    pa.array(fresh[u] | fresh[v]),
+                ],
+                ["key", "row", "u", "v", "fresh"],
+            )
+
+
 def _cleaner(min_words: int):
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,6 +364,47 @@ def _by_row(parts: DataFrame) -> DataFrame:
     return parts.groupBy("row").agg(F.collect_set(F.struct("start", "end", "other_id")).alias("parts"))
 
 
+def _uncovered(places: DataFrame, parts: DataFrame, starts: list[str], min_words: int) -> DataFrame:
+    """``places`` with ``open``: a run at one of its ``starts`` lies in no passage of its row."""
+    spans = _by_row(parts).mapInArrow(_closer(min_words), "row long, spans array<struct<start:int,end:int>>")
+    fresh = F.lit(False)
+    for x in starts:
+        inside = F.exists("spans", lambda s: (s["start"] <= F.col(x)) & (s["end"] >= F.col(x) + RUN))  # noqa: B023
+        fresh = fresh | ~F.coalesce(inside, F.lit(False))
+    return places.join(spans, "row", "left").withColumn("open", fresh).drop("spans")
+
+
+def _of_pairs(shared: DataFrame, parts: DataFrame, named: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """Parts that pairs of still uncovered seeds lead to, with the pairs' first and then all earlier holders."""
+    later = F.expr("row <> anchor or x <> a")
+    marked = write_and_reread(
+        _uncovered(shared, parts, ["x"], min_words).select("seed", "row", "x", (F.col("open") & later).alias("fresh")), "open"
+    )
+    wanted = marked.where("fresh").select("seed").distinct()
+    rows = (
+        marked.join(wanted, "seed", "left_semi")
+        .groupBy("row")
+        .agg(F.sort_array(F.collect_list(F.struct("x", "seed", "fresh"))).alias("seeds"))
+    )
+    pairs = rows.mapInArrow(_pairer, "key long, row long, u int, v int, fresh boolean")
+    pairs = write_and_reread(pairs, "pairs")
+    firsts = (
+        pairs.groupBy("key")
+        .agg(F.count("*").alias("n"), F.max("fresh").alias("any"), F.min(F.struct("row", "u", "v")).alias("first"))
+        .where("n > 1 and any")
+        .select("key", "first")
+    )
+    pairs = write_and_reread(pairs.join(firsts, "key"), "pairs")
+    here = F.struct("row", "u", "v")
+    both = F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("b.u").alias("a")), F.struct(F.col("v").alias("x"), F.col("b.v").alias("a"))))
+    matched = lambda found: found.select("row", F.col("b.row").alias("anchor"), both.alias("m")).select("row", "anchor", "m.x", "m.a").distinct()
+    more = _parts(matched(pairs.where(F.col("fresh") & (here != F.col("first"))).withColumnRenamed("first", "b")), named, similarity)
+    left = _uncovered(pairs.where("fresh"), parts.union(more), ["u", "v"], min_words).where("open")
+    earlier = pairs.select("key", here.alias("b")).where(F.col("b") != F.col("first"))
+    rest = left.join(earlier, "key").where(F.col("b") < here)
+    return more.union(_parts(matched(rest), named, similarity))
+
+
 def repeated_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -356,6 +443,7 @@ def repeated_passages(
         "shared-seeds",
     )
     parts = _parts(shared.where("row <> anchor or x <> a").select("row", "anchor", "x", "a"), named, similarity)
+    parts = parts.union(_of_pairs(shared, parts, named, min_words, similarity))
     packed = docs.select(row, F.struct(*(F.col(f"`{c}`") for c in own)).alias("all"))
     whole = packed.join(_by_row(parts), "row", "left").select(
         "all", F.col(f"all.`{text_col}`").cast("string").alias("text"), "parts"

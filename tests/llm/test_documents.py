@@ -100,6 +100,20 @@ def test_passages_are_cut_but_once(table):
         assert found["same_as"]
 
 
+def test_passage_of_common_sentences_is_cut(table):
+    rng = random.Random(11)
+    sentences = [prose(200 + k, 10) for k in range(24)]
+    rows = [(d, " ".join(prose(300 + d, 30) + sentences[d % 24] + prose(900 + d, 30))) for d in range(480)]
+    want = []
+    for k in range(10):
+        passage = sum(rng.sample(sentences, 6), [])
+        want.append((1000 + 2 * k, 1001 + 2 * k))
+        rows += [(d, " ".join(prose(2000 + d, 40) + passage + prose(3000 + d, 40))) for d in want[-1]]
+    got = {r["doc_id"]: r for r in passages.repeated_passages(table(rows)).collect()}
+    assert [sorted(len(got[d]["text"].split()) for d in pair) for pair in want] == [[80, 140]] * 10
+    assert not any(got[d]["passages"] for d in range(480))
+
+
 def edited(words, share, rng):
     """``words`` with a share of substitutions, insertions and deletions."""
     out = list(words)
