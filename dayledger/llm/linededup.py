@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from dayledger.session import write_and_reread
 
-MIN_SITES, MIN_WORDS, LG_K = 10, 3, 12
+MIN_SITES, MIN_WORDS, LG_K = 10, 1, 12
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -95,7 +95,7 @@ def remove_boilerplate(
     """All rows and columns, ``text`` without its boilerplate lines, and ``lines_removed``.
 
     Lines end at ``\\n``, are compared with white space folded, and count from ``min_words``
-    words; shorter and blank lines always stay. The first occurrence (least id, nulls first,
+    words (every line with a word, unless told otherwise); shorter and blank lines always stay. The first occurrence (least id, nulls first,
     then the row's hash and the place in the text) keeps the line. A null text stays null, an
     empty one empty; a text may become empty, its row stays. Rows with a null site are
     cleaned but add no site. Rows equal in id and text are treated alike. A column

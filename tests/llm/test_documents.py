@@ -78,6 +78,14 @@ def test_lines_against_exact_counts(spark, table):
     assert got.where("n_chars <> length(text)").count() == 0
 
 
+def test_short_and_blank_free_lines_are_boilerplate(table):
+    common = ["Menu", "Read more", "\u7248\u6743\u6240\u6709\u4e0d\u5f97\u8f6c\u8f7d"]
+    rows = [(d, "\n".join([*common, "", f"own{d}", "few" if d < 9 else "x y"]), "en", f"s{d}") for d in range(12)]
+    got = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in linededup.remove_boilerplate(table(rows)).collect()}
+    assert got[0] == (rows[0][1], 0)
+    assert all(got[d] == (f"\nown{d}\n" + ("few" if d < 9 else "x y"), 3) for d in range(1, 12))
+
+
 def test_lines_on_odd_rows(odd):
     got = linededup.remove_boilerplate(odd)
     assert got.columns == [*odd.columns, "lines_removed"] and got.count() == 9
