@@ -242,8 +242,13 @@ def one_of_each(
     rows: int = ROWS,
     similarity: float = SIMILARITY,
     run: int = RUN,
+    once: bool = False,
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; see ``near_duplicates``."""
+    """The rows of ``docs`` that stay, with all their columns; see ``near_duplicates``.
+
+    With ``once`` rows that are equal in id and text are one document too, null ids among
+    them: the row with the least hash of all its columns stays. Rows with a null text all stay.
+    """
     nodes, classes = _classes(docs, id_col, text_col, bands, rows, similarity, run)
     stay = (
         nodes.select("k", F.col("id").alias("own_id"))
@@ -256,7 +261,19 @@ def one_of_each(
         own.alias("all"), F.col(id_col).cast("long").alias("id"), _key(F.col(text_col).cast("string")).alias("k")
     )
     same = (keyed["k"] == stay["k"]) & keyed["id"].eqNullSafe(stay["own_id"])
-    return keyed.join(stay, same, "left_semi").union(keyed.where("k is null")).select("all.*")
+    kept = keyed.join(stay, same, "left_semi")
+    if once:
+        counted = keyed.where("k is not null").groupBy("k", "id").agg(F.count("*").alias("n"))
+        again = write_and_reread(counted.where("n > 1").select(F.col("k").alias("k2"), F.col("id").alias("id2")), "repeated-rows")
+        repeats = (F.col("k") == F.col("k2")) & F.col("id").eqNullSafe(F.col("id2"))
+        one = (
+            kept.join(again, repeats, "left_semi")
+            .groupBy("k", "id")
+            .agg(F.min_by("all", F.xxhash64("all")).alias("all"))
+            .select("all", "id", "k")
+        )
+        kept = kept.join(again, repeats, "left_anti").union(one)
+    return kept.union(keyed.where("k is null")).select("all.*")
 
 
 def _classes(docs, id_col, text_col, bands, rows, similarity, run) -> tuple[DataFrame, DataFrame]:

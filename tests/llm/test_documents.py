@@ -52,6 +52,15 @@ def test_near_duplicates_on_odd_rows(odd):
     assert kept.columns == odd.columns and kept.count() == 9
 
 
+def test_near_dedup_stage_keeps_one_row_of_a_document(spark, table):
+    texts = [" ".join(prose(70 + k, 60)) for k in range(3)]
+    rows = [(7, texts[0], "en", f"s{k}") for k in range(20)] + [(None, texts[1])] * 5 + [(8, texts[0]), (9, texts[2]), (1, None)]
+    kept = corpus_pipeline.near_dedup(spark, table(rows), SMALL)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        [(7, texts[0]), (None, texts[1]), (9, texts[2]), (1, None)]
+    )
+
+
 def test_chain_of_copies_is_one_class(table):
     base = prose(1, 200)
     texts = [" ".join(base[k * 3 : k * 3 + 120]) for k in range(12)]
