@@ -353,6 +353,29 @@ def test_other_languages_are_judged_by_script():
     assert quality._script("\u4e2d\u6587") == "other" and quality._script("word") == "Latin"
 
 
+def test_scripts_have_bands_that_reject(table):
+    russian = "\u0412\u0447\u0435\u0440\u0430 \u0432\u0435\u0447\u0435\u0440\u043e\u043c \u043c\u044b \u0434\u043e\u043b\u0433\u043e \u0433\u0443\u043b\u044f\u043b\u0438 \u043f\u043e \u0441\u0442\u0430\u0440\u043e\u043c\u0443 \u0433\u043e\u0440\u043e\u0434\u0443"
+    symbols = [chr(0x13000 + k % 400) + chr(0x2590 + k % 7) for k in range(120)]
+    broken = [chr(0x400 + 7 * k % 80) + chr(0x48a + 11 * k % 150) for k in range(120)]
+    rng = random.Random(1)
+    good = [a + b for a in russian.split() for b in russian.split()]
+    rng.shuffle(good)
+    names = {"\u4e2d\u6587": "Han", "\u304b\u306a \u4e2d": "Kana", "\u03b1\u03b2": "Greek", "\u0431": "Cyrillic", "ab": "Latin", "?": "other"}
+    assert {t: quality._band(t) for t in names} == names
+    rows = [(k, " ".join(words), "xx") for k, words in enumerate((good, symbols, broken))]
+    got = {r["row"]["doc_id"]: r for r in quality.quality(table(rows), PIECE_BPE).collect()}
+    assert not any(got[k]["base_failed"] for k in range(3))
+    assert [(got[k]["band"], got[k]["kept"]) for k in range(3)] == [("Cyrillic", True), ("other", False), ("Cyrillic", False)]
+
+
+def test_bands_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    odd_ids = docs.where("doc_id % 2 = 1").join(labels.select("doc_id", "quality"), "doc_id").where("quality is not null")
+    judged = quality.quality(odd_ids, PIECE_BPE).where("not base_failed").groupBy("row.quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {r["quality"]: r["kept"] for r in judged.collect()}
+    assert kept[1] >= 0.95 and kept[0] <= 0.25
+
+
 def test_pipeline_stages_keep_columns(spark, odd):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
