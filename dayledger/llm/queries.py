@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.llm import (
+    bytebpe,
     licenses,
     linededup,
     maxplus,
@@ -19,6 +20,7 @@ from dayledger.llm import (
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +79,18 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *(c for c in judged.columns if c != "row"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the bytes they decode to, as digests."""
+    docs = _table(spark, sf_dir, "documents")
+    encoded = bytebpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
+    return bytebpe.decode(encoded, BYTE_RANKS, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over ``documents``."""
     import corpus_pipeline
@@ -95,6 +109,7 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece_round_trip,
     "op9_best_fit_packing": best_fit_packing,
     "op10_quality_rules": quality_rules,
+    "op11_byte_bpe": byte_bpe,
     "pipeline": pipeline,
 }
 
