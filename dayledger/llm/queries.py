@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from dayledger.llm import (
     bytebpe,
+    crosstok,
+    hardneg,
     licenses,
     linededup,
     maxplus,
@@ -20,6 +22,7 @@ from dayledger.llm import (
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -91,6 +94,23 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the id is divisible by 7 the label is the next one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(vectors.withColumn("label", label))
+
+
+def cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of tokens, groups and links of every text, and the groups as a digest."""
+    counts = ["n_a", "n_b", "n_groups", "n_links"]
+    docs = _table(spark, sf_dir, "documents")
+    aligned = crosstok.align(docs, BYTE_BPE, PIECE_BPE, [*counts, "groups"], keep=["doc_id"], brief=True)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    weighted = crosstok.link_weights(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return weighted.select("doc_id", *counts, "n_best", "count_sum", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over ``documents``."""
     import corpus_pipeline
@@ -110,6 +130,8 @@ QUERIES = {
     "op9_best_fit_packing": best_fit_packing,
     "op10_quality_rules": quality_rules,
     "op11_byte_bpe": byte_bpe,
+    "op12_hard_negatives": hard_negatives,
+    "op13_cross_tokenizer": cross_tokenizer,
     "pipeline": pipeline,
 }
 
@@ -168,6 +190,21 @@ ORACLES = {
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
     WHERE rank <= {topk.K}""",
+    "op12_hard_negatives": """
+    WITH v AS (
+        SELECT row_number() OVER () AS r, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.r, a.id AS anchor_id, a.label = o.label AS same, o.r AS o, o.id,
+                 CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * o.v[i])) AS BIGINT) AS score
+          FROM v a JOIN v o ON a.id % 50 = 0 AND a.r <> o.r),
+    p AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, id, o) AS k FROM s WHERE same QUALIFY k <= 5),
+    n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.id, s.o) AS rank
+          FROM p JOIN s ON s.r = p.r AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= 3""",
     "op6_url_filters": f"""
     WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
     p AS (SELECT page_id,
