@@ -195,7 +195,9 @@ def events_of(rows: DataFrame) -> DataFrame:
 def parse_errors_of(rows: DataFrame) -> DataFrame:
     """The failed events, one line each; they never stop the others."""
     failed = rows.where(F.col("error").isNotNull())
-    return failed.select("page_url", "event_ref", F.col("error").alias("message"), "year")
+    return failed.select(
+        "page_url", "event_ref", F.col("error").alias("message"), F.col("scraped_at").alias("seen_at"), "year"
+    )
 
 
 def extract_events(pages: DataFrame, scraped_at: Column | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 MATCHED, MISSING, EXTRA = "matched", "missing", "extra"
 
@@ -47,10 +48,8 @@ def reconcile_counts(outcomes: DataFrame) -> DataFrame:
 
 
 def first_numbers(outcomes: DataFrame, outcome: str, n: int = 20) -> DataFrame:
-    """Smallest numbers of an outcome, ascending; a top-k, not a full sort."""
-    return (
-        outcomes.where(F.col("outcome") == outcome)
-        .select("event_number")
-        .orderBy("event_number")
-        .limit(n)
-    )
+    """Smallest numbers of an outcome, ascending; a top-k, not a full sort. Numbers may be
+    given as digits too."""
+    as_digits = isinstance(outcomes.schema["event_number"].dataType, StringType)
+    order = [F.length("event_number"), "event_number"] if as_digits else ["event_number"]
+    return outcomes.where(F.col("outcome") == outcome).select("event_number").orderBy(*order).limit(n)

@@ -62,6 +62,28 @@ def current_status(log: DataFrame) -> DataFrame:
     )
 
 
+def snapshot(log: DataFrame) -> DataFrame:
+    """The rows of the log that decide the current state of any page: ``current_status`` of these, with
+    whatever rows come later, is that of the whole log. At most ten rows a page, one aggregate."""
+    names = PAGE_STATUS.fieldNames()
+    order = _order(F.col("at"), F.col("status"))
+    row = F.struct(*names)
+
+    def holder(condition: Column, *first: Column) -> Column:
+        return F.max(F.when(condition, F.struct(*first, order, row.alias("row"))))["row"]
+
+    carried = ("html_format", "html_sha256", "event_count", "error_msg")
+    deciding = [
+        holder(F.lit(True)),
+        holder(F.lit(True), -F.col("year")),
+        holder(F.col("report_date").isNotNull(), F.col("report_date")),
+        *[holder(F.col("status") == s) for s in ("pending", "fetched", "parsed")],
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct(order, F.col(c), row.alias("row"))))["row"] for c in carried],
+    ]
+    rows = log.groupBy("url").agg(F.array_distinct(F.array_compact(F.array(*deciding))).alias("rows"))
+    return rows.select(F.explode("rows").alias("row")).select("row.*").select(*names)
+
+
 def status_rows(pages: DataFrame, status: str, at: Column, **columns: Column) -> DataFrame:
     """Log rows for ``pages(url, year, report_date)``; columns not given stay NULL."""
     given = {"status": F.lit(status), "at": at, **columns}

@@ -20,12 +20,12 @@ from dayledger.operators.extract import (
     segment,
 )
 from dayledger.plans import corpus
-from dayledger.plans.jobs import Store, run
+from dayledger.plans.jobs import run
 from dayledger.schemas import EVENT, PAGES_RAW
 from dayledger.session import fresh_path
 from dayledger.sources import archive, event_files
+from dayledger.sources.ledger import Store
 from dayledger.sources.listing import read_listing
-from dayledger.sources.tables import append_batch
 from dayledger.streaming.incremental import process_new_pages
 
 QUERIES = {}
@@ -179,8 +179,10 @@ def archive_lookup(spark, sf_dir):
     """Wanted pages joined to the archive, which holds half of them; presence by
     semi-join and anti-join."""
     pages = table(spark, sf_dir, "pages").withColumn("year", F.lit(0))
-    stored = pages.where(_STORED_HALF)
-    wanted = archive.with_html(pages.select("url", "year"), stored).select(
+    path = fresh_path(spark, "archive")
+    archive.save_pages(pages.where(_STORED_HALF), path, "half", F.timestamp_seconds(F.lit(1)))
+    stored = archive.read_landed(spark, path)
+    wanted = archive.wanted_pages(spark, path, pages.select("url", "year"), "left").select(
         "url", F.length("html").alias("n_chars")
     )
     return (
@@ -402,7 +404,7 @@ FROM src WHERE error IS NOT NULL
     )
 )
 def failed_events(spark, sf_dir):
-    return parse_errors_of(extract_rows(rendered(spark, sf_dir)))
+    return parse_errors_of(extract_rows(rendered(spark, sf_dir))).drop("seen_at")
 
 
 @query(
@@ -965,7 +967,7 @@ runs AS (
 
 @query(f"WITH {_RUNS} SELECT * FROM runs")
 def run_ledger(spark, sf_dir):
-    runs = stats.current_runs(_run_log(spark, sf_dir))
+    runs = stats.current_runs(_run_log(spark, sf_dir)).drop("pages_discovered")
     return runs.withColumns(
         {
             "started_at": F.date_format("started_at", "yyyy-MM-dd HH:mm:ss"),
@@ -1025,16 +1027,16 @@ def backfill_twice_and_forced(spark, sf_dir):
     """A backfill, the same again, and a forced one. Stored events stay as they are."""
     store = Store(fresh_path(spark, "store"))
     pages = rendered(spark, sf_dir)
-    append_batch(pages, store.path("pages_raw"), "landing")
+    archive.save_landed(pages, store.path("pages_raw"), "landing")
     years = [r.year for r in pages.select("year").distinct().collect()]
     index = corpus.index_pages(spark, sf_dir)
     for n, force in enumerate((False, False, True)):
         at = F.timestamp_seconds(F.lit(1_000_000 + n))
         run(spark, store, years, f"run{n}", at, index, force)
     current = status.current_status(store.status_log(spark))
-    stored = event_files.read_events(spark, store.path("events"))
-    # The forced run met the failed events again; those of the first run are enough.
-    failures = store.parse_errors(spark, without_batch="run2")
+    stored = store.events(spark)
+    # The forced run met the failed events again: one open error each, seen twice.
+    failures = store.current_errors(spark).where("state = 'open' AND times_seen = 2")
     stored_n = stored.groupBy("year").agg(F.count("*").alias("stored"))
     failed_n = failures.groupBy("year").agg(F.count("*").alias("failed"))
     return (
@@ -1062,5 +1064,5 @@ def incremental_stream(spark, sf_dir):
         if step is not None:
             pages.where(step).select(*PAGES_RAW.fieldNames()).write.mode("append").parquet(landing)
         process_new_pages(spark, store, landing, checkpoint).awaitTermination()
-    stored = event_files.read_events(spark, store.path("events"))
+    stored = store.events(spark)
     return stored.groupBy("year", "category", "html_format").agg(F.count("*").alias("events"))

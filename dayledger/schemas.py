@@ -104,6 +104,7 @@ PARSE_ERRORS = T.StructType(
         T.StructField("page_url", T.StringType()),
         T.StructField("event_ref", T.StringType()),
         T.StructField("message", T.StringType()),
+        T.StructField("seen_at", T.TimestampType()),
         T.StructField("year", T.IntegerType()),
     ]
 )
@@ -114,6 +115,7 @@ RUNS = T.StructType(
         T.StructField("run_type", T.StringType()),
         T.StructField("started_at", T.TimestampType()),
         T.StructField("finished_at", T.TimestampType()),
+        T.StructField("pages_discovered", T.LongType()),
         T.StructField("pages_fetched", T.LongType()),
         T.StructField("pages_parsed", T.LongType()),
         T.StructField("events_found", T.LongType()),
@@ -122,6 +124,25 @@ RUNS = T.StructType(
     ]
 )
 
+EVENT_BITMAPS = T.StructType(
+    [
+        T.StructField("bucket", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+        T.StructField("year", T.IntegerType()),
+    ]
+)
+
+BATCH = T.StructType(
+    [
+        T.StructField("run", T.StringType()),
+        T.StructField("attempt", T.IntegerType()),
+        T.StructField("phase", T.StringType()),
+    ]
+)
+
+# Batches that a compaction holds the rows of.
+COVERED = T.StructType([T.StructField(f"of_{f.name}", f.dataType) for f in BATCH.fields])
+
 # The closed list of event categories.
 CATEGORIES = (
     "Power Reactor",

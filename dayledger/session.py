@@ -42,6 +42,17 @@ def write_and_reread(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_and_reread_dealt(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """The same, dealt into buckets by ``key`` and with each row's place (``_file``, ``_row``). Rows that come from
+    a table dealt out alike are written where they are; others give a file for each task and bucket."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    known_as = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(known_as)
+    place = (F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return spark.table(known_as).select("*", *place)
+
+
 def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
     """Few enough narrow rows to broadcast? Stops counting past the limit."""
     return df.limit(max_rows + 1).count() <= max_rows
