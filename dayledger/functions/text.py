@@ -131,11 +131,51 @@ def unescape_markup(text: Column) -> Column:
     return text
 
 
+#: A tag's inside: attribute values may hold angle brackets where they are quoted.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
+_HIDDEN = r"(?s)<(?:!--.*?(?:-->|\z)|((?i:script|style))\b[^<>]*+>.*?(?:</(?i:\1)\s*+>|\z))"
+#: Every character of a page belongs to one token, and a token is found without looking back or looking
+#: twice: comment, script or style; tag, which reaches to the end when it is never ended; text.
+_TOKEN = (
+    rf"(?s)<!--.*?(?:-->|\z)|<((?i:script|style))\b{_INSIDE}>.*?(?:</(?i:\1)\s*+>|\z)"
+    rf"|</?[A-Za-z]{_INSIDE}(?:>|\z)|<[!?][^>]*+(?:>|\z)|[^<]++|<"
+)
+#: Signs that the short way may go wrong: angle brackets in a quoted value, a tag never ended.
+_ODD = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])|<[A-Za-z/!?][^<>]*+\z"""
+_HIDDEN_IN_VALUE = r"""=\s*+["'][^"'<>]*+<(?:!--|(?i:script|style)\b)"""
+
+
+def without_hidden(html: Column) -> Column:
+    """Drop comments, scripts and styles of a page whose tags are plain; one never closed reaches to the end."""
+    return F.regexp_replace(html, _HIDDEN, "")
+
+
+def _plain_token(token: Column) -> Column:
+    """A hidden token vanishes, a whole tag keeps no angle brackets inside, a tag that is never ended is text."""
+    inner = F.substr(token, F.lit(2), F.length(token) - 2)
+    escaped = F.replace(F.replace(inner, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    return (
+        F.when(token.rlike(r"^<(?:!--|(?i:script|style)\b)"), "")
+        .when(token.rlike(r"^</?[A-Za-z!?]") & token.endswith(">"), F.concat(F.lit("<"), escaped, F.lit(">")))
+        .when(token.rlike(r"^</?[A-Za-z!?]"), F.replace(token, F.lit("<"), F.lit("&lt;")))
+        .otherwise(token)
+    )
+
+
+def plain_markup(html: Column, short: Column) -> Column:
+    """``short``, which is ``without_hidden(html)``, or the page put together from its tokens where that may
+    differ. After this a tag is what lies between two angle brackets, on any page, so that what
+    follows can look for tags by simple patterns."""
+    tokens = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
+    odd = short.rlike(_ODD) | html.rlike(_HIDDEN_IN_VALUE)
+    shown = F.when(odd, F.array_join(F.transform(tokens, _plain_token), "")).otherwise(short)
+    return F.replace(shown, F.lit("&nbsp;"), F.lit("\xa0"))
+
+
 def visible_markup(html: Column) -> Column:
     """Drop comments, scripts and styles; one never closed reaches to the end. Make
     non-breaking blanks real."""
-    hidden = r"(?s)<(?:!--.*?(?:-->|\z)|((?i:script|style))\b[^>]*+>.*?(?:</(?i:\1)\s*+>|\z))"
-    return F.replace(F.regexp_replace(html, hidden, ""), F.lit("&nbsp;"), F.lit("\xa0"))
+    return F.get(F.transform(F.array(without_hidden(html)), lambda short: plain_markup(html, short)), F.lit(0))
 
 
 def prepare_html(html: Column) -> Column:

@@ -9,9 +9,10 @@ from dayledger.functions.markup import attribute_starts, has_class, inside, open
 from dayledger.functions.text import (
     decode_entities,
     joined_text,
+    plain_markup,
     spaced_text,
     strip,
-    visible_markup,
+    without_hidden,
 )
 
 # The markers that tell the layouts apart, and the lengths in characters.
@@ -55,7 +56,8 @@ def _stages() -> tuple[dict[str, Column], ...]:
         .otherwise("unknown")
     )
     return (
-        {"_visible": visible_markup(F.col("html"))},
+        {"_short": without_hidden(F.col("html"))},
+        {"_visible": plain_markup(F.col("html"), F.col("_short"))},
         {"_html": decode_entities(F.col("_visible"))},
         {"_kind": by_markup},
         {"_pre": F.when(kind.isNull() & page.rlike(open_tag("pre")), pre_text(page))},
@@ -68,7 +70,7 @@ def with_layout(pages: DataFrame) -> DataFrame:
     the earlier rules leave the layout open) and ``html_format``."""
     for columns in _stages():
         pages = pages.withColumns(columns)
-    return pages.drop("_visible", "_kind")
+    return pages.drop("_short", "_visible", "_kind")
 
 
 def detect_format(pages: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dayledger.functions.category import category_of_heading, plain_heading
 from dayledger.functions.lists import citations_in_lines, empty_list, persons, unit_statuses
-from dayledger.functions.markup import body_rows, without_first
+from dayledger.functions.markup import levelled_body_rows, without_first
 from dayledger.functions.text import clean_lines, normalize_whitespace
 from dayledger.operators import legacy, modern, plaintext
 from dayledger.operators.classify import with_layout
@@ -160,7 +160,7 @@ def _outputs() -> tuple[Column, ...]:
             persons(person_text)
         ),
         "reactor_units": F.when(in_pre, plaintext.reactor_units(head))
-        .when(is_reactor, unit_statuses(body_rows(unit_table)))
+        .when(is_reactor, unit_statuses(levelled_body_rows(unit_table)))
         .otherwise(empty_list(UNIT_STATUS)),
         "parse_warnings": _by_layout(modern.warnings(c("_pair_text"), c("_labels"))),
     }

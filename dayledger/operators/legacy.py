@@ -3,7 +3,17 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dayledger.functions.markup import CELL, TABLE, once, open_tag, row_cells, table_rows, until, walk
+from dayledger.functions.markup import (
+    element,
+    levelled_tables,
+    once,
+    open_tag,
+    row_cells,
+    table_rows,
+    tables,
+    until,
+    walk,
+)
 from dayledger.functions.text import joined_text, spaced_text
 from dayledger.operators.classify import LEGACY_EVENT
 from dayledger.operators.pieces import (
@@ -14,10 +24,11 @@ from dayledger.operators.pieces import (
 )
 
 # The tags, titles and table width of this layout.
-_TO_TABLE = r"^<(?:[^<]++|<(?i:br\b|/?a\b))*+" + TABLE
+_TO_TABLE = r"^<(?:[^<]++|<(?i:br\b|/?a\b))*+(?=<(?i:table)\b)"
+_CELL = open_tag("t[dh]") + "(" + until(r"/?t[dhr]\b", r"/?table\b") + ")"
 _TEXT_HEADING = open_tag("p") + until(r"/?p\b", r"b\b") + open_tag("b") + "[^<]*Event Text"
 _TO_TEXT_CELL = _TEXT_HEADING + "(?s:.*?)" + open_tag("table") + until(r"t[dh]\b", r"/table\b")
-_TEXT_CELL = _TO_TEXT_CELL + CELL
+_TEXT_CELL = _TO_TEXT_CELL + _CELL
 _FROM_TEXT_CELL = "(?s)" + _TO_TEXT_CELL + open_tag("t[dh]") + "(.*+)"
 _WIDE_TABLE = r"""^[^>]*\s(?i:width)\s*+=\s*+["']?98"""
 _STATE_ON_LINE = r"(?m)^([^\S\n]*+(?i:region|city)[^\S\n]*+:[^\n]*?)State:"
@@ -35,12 +46,21 @@ def event_ref(fragment: Column) -> Column:
 
 
 def head(fragment: Column) -> Column:
-    """Anchor to end of the header table; '' when another element stands between."""
-    return F.regexp_extract(fragment, _TO_TABLE, 0)
+    """Anchor to end of the header table; '' when another element stands between. A table that
+    is never closed ends at the text heading, or with the fragment."""
+    before = F.regexp_extract(fragment, _TO_TABLE, 0)
+
+    def to_end(at: Column) -> Column:
+        rest = F.substr(fragment, at + 1)
+        unclosed = F.split(rest, f"(?={_TEXT_HEADING})", 2)[0]
+        table = once(element(rest, "table"), lambda t: F.when(t == "", unclosed).otherwise(t))
+        return F.when(at > 0, F.concat(F.substr(fragment, F.lit(1), at), table)).otherwise("")
+
+    return once(F.length(before), to_end)
 
 
 def rows(header: Column) -> Column:
-    return table_rows(header)
+    return table_rows(levelled_tables(header))
 
 
 def cells(header_rows: Column, nth: int) -> Column:
@@ -48,7 +68,7 @@ def cells(header_rows: Column, nth: int) -> Column:
 
 
 def category_text(header_rows: Column) -> Column:
-    return joined_text(F.regexp_extract(F.get(header_rows, F.lit(0)), CELL, 1))
+    return joined_text(F.coalesce(F.get(cells(header_rows, 0), F.lit(0)), F.lit("")))
 
 
 def cell_lines(row: Column, nth: int) -> Column:
@@ -92,7 +112,7 @@ def text_html(after_header: Column) -> Column:
 
 
 def unit_table(after_header: Column) -> Column:
-    """Table with unit titles or nearly full width, before the text heading."""
+    """Table with unit titles or nearly full width, before the text heading; levelled."""
     # The blank in front lets the cut happen at the very start too.
     before_text = F.split(F.concat(F.lit(" "), after_header), f"(?={_TEXT_HEADING})", 2)[0]
 
@@ -100,5 +120,5 @@ def unit_table(after_header: Column) -> Column:
         first_row = joined_text(F.get(table_rows(table), F.lit(0)))
         return first_row.rlike("(?s)^(?=.*Unit)(?=.*SCRAM)") | table.rlike(_WIDE_TABLE)
 
-    tables = F.filter(F.regexp_extract_all(before_text, F.lit(TABLE), F.lit(0)), is_unit_table)
-    return F.coalesce(F.get(tables, F.lit(0)), F.lit(""))
+    found = F.filter(tables(levelled_tables(before_text)), is_unit_table)
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))

@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 
 from dayledger.functions.dates import long_date
 from dayledger.functions.markup import (
-    TABLE,
     attribute_starts,
     close_tag,
     element,
     has_class,
     inside,
+    levelled,
+    levelled_tables,
     open_tag,
+    tables,
     tag_pieces,
     until,
 )
@@ -32,6 +34,10 @@ _NEXT_EVENT = "^" + open_tag("div", has_class("grid"), attribute_starts("id", EV
 _GRID = "^" + open_tag("div", has_class("grid"))
 _FIRST_HEADING = open_tag("div", has_class("th")) + "(" + until(r"/?div\b") + ")"
 _HEADING = open_tag("div", has_class("th")) + until(r"/?div\b") + close_tag("div")
+_HEADING_WITH_BLOCKS = open_tag("div", has_class("th")) + until(r"/?div\b") + r"<(?i:div)\b"
+_LEVELLED_HEADING = (
+    r"<(?i:div)_([1-9]\d*+)\b" + has_class("th") + "[^>]*+>" + until(r"/div_\1\b") + r"</(?i:div)_\1\s*+>"
+)
 _BORDER = "^" + open_tag("div", has_class("border"))
 _CITATION_TITLE = "10 CFR Section"
 _PERSON_TITLE = r"Person ?\(Organization\):"
@@ -96,7 +102,9 @@ def category_text(container: Column) -> Column:
 def pair_text(html: Column) -> Column:
     """A bold label starts a line, its end is the separator; a value ends at the next
     label, line break or block end."""
-    fields = F.regexp_replace(html, _HEADING, "")
+    with_blocks = F.regexp_replace(levelled(html, "div", "div"), _LEVELLED_HEADING, "")
+    unmarked = F.regexp_replace(with_blocks, r"<(/?)((?i:div))_\d++", "<$1$2")
+    fields = F.when(html.rlike(_HEADING_WITH_BLOCKS), unmarked).otherwise(F.regexp_replace(html, _HEADING, ""))
     one_line = F.replace(F.replace(fields, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
     lines = F.regexp_replace(one_line, r"<(?i:b|br|/div|/p|/td|/li)\b[^>]*+>", "\n")
     parted = F.regexp_replace(lines, close_tag("b"), SEP)
@@ -167,6 +175,6 @@ def text_html(after_container: Column, places: Column) -> Column:
 
 
 def unit_table(after_container: Column, places: Column) -> Column:
-    """First table among the siblings, none inside other blocks."""
-    html = F.substr(after_container, places["table"])
-    return F.when(places["table"] > 0, F.regexp_extract(html, TABLE, 0)).otherwise("")
+    """First table among the siblings, none inside other blocks; levelled."""
+    html = F.when(places["table"] > 0, F.substr(after_container, places["table"]))
+    return F.coalesce(F.get(tables(levelled_tables(html)), F.lit(0)), F.lit(""))
