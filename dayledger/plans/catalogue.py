@@ -21,7 +21,7 @@ from dayledger.operators.extract import (
 )
 from dayledger.plans import corpus
 from dayledger.plans.jobs import run
-from dayledger.schemas import EVENT, PAGES_RAW
+from dayledger.schemas import EVENT, PAGE_STATUS, PAGES_RAW
 from dayledger.session import fresh_path
 from dayledger.sources import archive, event_files
 from dayledger.sources.ledger import Store
@@ -54,6 +54,8 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(*PAGES_RAW.fieldNames())
 
 
+PAGE_STATUS_COLUMNS = PAGE_STATUS.fieldNames()
+
 # Source columns of the rendered events, for the SQL side.
 SOURCE = """
 src AS (
