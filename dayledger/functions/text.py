@@ -67,9 +67,11 @@ def safe_int(text: Column) -> Column:
 
 
 def field_value(text: Column, label: str) -> Column:
-    """Text after ``label:`` up to the next ``word:`` or the end, '' when absent."""
-    pattern = rf"(?iUd)\Q{label}\E:\s*(.+?)(?=\s+\w[\w\s]*+:|$)"
-    return strip(F.regexp_extract(text, pattern, 1))
+    """Text after the first ``label:``, any case, up to where blanks, words and a colon follow; '' when absent."""
+    at = F.instr(F.lower(text), label.lower() + ":")
+    after = strip(F.substr(text, at + len(label) + 1))
+    value = F.split(after, rf"{WS}++(?=(?U)\w(?:\w|{WS})*+:)", 2)[0]
+    return F.when(at > 0, strip(value)).when(at == 0, "")
 
 
 def split_first_colon(line: Column) -> tuple[Column, Column]:
