@@ -74,7 +74,7 @@ def serialised_model(ranks: dict[bytes, int]) -> bytes:
 class ByteBpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, pattern: str, size: int = 600_000):
+    def __init__(self, path: str, pattern: str, size: int = 300_000):
         ranks = read_ranks(path)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised_model(ranks))
         self.pattern = regex.compile(pattern)
