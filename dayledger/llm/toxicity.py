@@ -15,9 +15,11 @@ of the sample, a count for each entry, a count for each bin of the curve.
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -100,7 +102,15 @@ def matches(text: str, lexicon=LEXICON, exceptions=EXCEPTIONS) -> Counter:
         if start and folded[start - 1].isalnum() or not opening and folded[end : end + 1].isalnum():
             continue
         (safe if i < 0 else found).append((start, end, i))
-    return Counter(i for s, e, i in found if not any(a <= s and e <= b for a, b, _ in safe))
+    # Hits come by rising end, so a hit lies in an exception if one that ends no earlier starts no later.
+    ends = [b for _, b, _ in safe]
+    first = list(accumulate((a for a, _, _ in reversed(safe)), min))[::-1]
+
+    def excepted(start: int, end: int) -> bool:
+        k = bisect_left(ends, end)
+        return k < len(ends) and first[k] <= start
+
+    return Counter(i for s, e, i in found if not excepted(s, e))
 
 
 _HITS = T.MapType(T.IntegerType(), T.IntegerType())
