@@ -21,6 +21,13 @@ from dayledger.sources.ledger import Store
 from dayledger.streaming.incremental import process_new_pages
 
 
+#: Each of these runs several whole jobs.
+WHOLE_STORES = (
+    "same_run_id_twice", "two_landings_one_store", "stream_ledger", "current_year_run", "discovered_per_run",
+    "error_life", "compacted_store",
+)
+
+
 def _at(n: int):
     return F.timestamp_seconds(F.lit(1_000_000 + n))
 
