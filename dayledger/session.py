@@ -50,7 +50,9 @@ def write_and_reread_dealt(df: DataFrame, name: str, key: str, buckets: int) ->
     known_as = path.rsplit("/", 1)[1].replace("-", "_")
     df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(known_as)
     place = (F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return spark.table(known_as).select("*", *place)
+    written = spark.table(known_as).select("*", *place)
+    spark.sql(f"DROP TABLE {known_as}")  # the name only: the files and how they are dealt are in the frame
+    return written
 
 
 def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
