@@ -1,26 +1,33 @@
 """Passages that repeat across documents, found by chaining shared word runs.
 
-Seeds are all runs of five words. First, every holder of a seed is matched with the seed's
-first holder, its anchor: matches grow with the text, however often a passage repeats. The
-matches of one document with one anchor are chained in order: a Fenwick tree over the
-anchor's places gives the best chain that ends before a match, less a cost for the gap.
-Chains are then aligned word by word against the anchor's passage, across gaps and out over
-both ends with insertions and deletions, which finds the passage's fuzzy borders.
+Seeds are all runs of five words. Every holder of a seed is matched with an earlier holder,
+its anchor: matches grow with the text, however often a passage repeats. The matches of one
+document with one anchor are chained in order: a Fenwick tree over the anchor's places gives
+the best chain that ends before a match, less a cost for the gap. Chains are then aligned
+word by word against the anchor's passage, across gaps and out over both ends with insertions
+and deletions, which finds the passage's fuzzy borders.
+
+Seeds travel packed: a task sorts the seeds of some million words, matches repeats among them
+on the spot and sends one place of each seed, as differences of the leading bits of its hash.
+So a seed that all documents hold costs one entry for each such group, seeds with one holder
+end where they arrive, and only shared ones become rows.
 
 A passage of common sentences has its seeds anchored at many documents, and no chain with
-the one that holds it whole. So shared seeds that no passage covers are taken again as pairs,
-``NEAR`` to ``FAR`` words apart: again with the pair's first holder, and what is open after
-that with every earlier holder.
+the one that holds it whole. So shared seeds that no exact stretch of ``min_words`` words
+covers are sent again as pairs, ``NEAR`` to ``FAR`` words apart, and matched alike.
 
 A document loses the stretches that chains cover with a share of ``similarity`` equal words,
 where they add up to ``min_words`` words or more; the first holder keeps them. "First" is by
-the hash of id and text, which no order of rows changes.
+the hash of id and text. Which of several earlier holders is the anchor may depend on how
+rows are dealt to tasks.
 """
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +38,8 @@ RUN, WINDOW, MIN_WORDS, SIMILARITY = 5, 1, 50, 0.8
 MAX_GAP, FLANK, LEAST = 64, 64, 15
 #: Words between the two seeds of a pair.
 NEAR, FAR = 20, 40
+#: Keys that a task sorts at once, and keys of a part of the exchange, about.
+GROUP, PART = 1 << 22, 1 << 21
 
 
 def seed_places(s: np.ndarray, window: int) -> np.ndarray:
@@ -45,27 +54,142 @@ def seed_places(s: np.ndarray, window: int) -> np.ndarray:
     return np.delete(at, 1 + np.flatnonzero(again))
 
 
-def _seeder(window: int):
-    def seed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 as planes of bytes, as many as the largest needs."""
+    values = values.astype("<u8")
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+_CELL = pa.schema(
+    [("part", pa.int64()), ("local", pa.bool_())]
+    + [(c, pa.binary()) for c in ("rows", "keys", "docs", "places", "anchors", "firsts")]
+)
+_CELL_KIND = "part long, local boolean, rows binary, keys binary, docs binary, places binary, anchors binary, firsts binary"
+_MATCH = ["seed", "row", "anchor", "x", "a"]
+
+
+def _cells(held: list[tuple], parts: int, bits: int) -> pa.RecordBatch:
+    """Cells of a group of (row, keys, places): the first place of each key by part, and repeats with their firsts.
+
+    Rows are the least first, so places in the order of the group are in the order of (row, place).
+    """
+    held.sort(key=lambda h: h[0])
+    rows = np.array([h[0] for h in held], np.int64)
+    doc = np.repeat(np.arange(len(held)), [len(h[1]) for h in held])
+    key = np.concatenate([h[1] for h in held]) >> np.uint64(64 - bits)
+    place = np.concatenate([h[2] for h in held])
+    order = key.argsort(kind="stable")
+    key, doc, place = key[order], doc[order], place[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    head = np.flatnonzero(new)
+    first = np.repeat(head, np.diff(np.append(head, len(key))))
+    out = []
+    again = np.flatnonzero(~new)
+    if len(again):
+        at, to = np.concatenate((again, np.unique(first[again]))), np.concatenate((first[again], np.unique(first[again])))
+        used, both = np.unique(np.concatenate((doc[at], doc[to])), return_inverse=True)
+        out.append(
+            (int(rows[0]) % parts, True, rows[used].tobytes(), _pack(key[at]), _pack(both[: len(at)]), _pack(place[at]))
+            + (_pack(both[len(at) :]), _pack(place[to]))
+        )
+    shift = np.uint64(bits - parts.bit_length() + 1)
+    cuts = np.searchsorted(key[head], np.arange(parts, dtype=np.uint64) << shift).tolist() + [len(head)]
+    for part, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if i < j:
+            at = head[i:j]
+            used, own = np.unique(doc[at], return_inverse=True)
+            keys = np.diff(key[at], prepend=np.uint64(0))
+            out.append((part, False, rows[used].tobytes(), _pack(keys), _pack(own), _pack(place[at]), None, None))
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), _CELL)], schema=_CELL)
+
+
+def _grouped(found: Iterable[tuple], parts: int, bits: int) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
+    for row, keys, places in found:
+        if len(keys):
+            held.append((row, keys, places))
+            n += len(keys)
+        if n >= GROUP:
+            yield _cells(held, parts, bits)
+            held, n = [], 0
+    if n:
+        yield _cells(held, parts, bits)
+
+
+def _seeder(window: int, parts: int, bits: int):
+    def found(batches):
         for batch, lists in pieces_of_batches(batches, "text"):
-            seeds, places, counts = [], [], []
-            for words in lists:
+            for row, words in zip(batch.column("row").to_pylist(), lists):
                 s = shingles(hashes(words), RUN)
                 at = seed_places(s, window)
-                own = s[at]
-                _, first = np.unique(own, return_index=True)
-                later = np.ones(len(own), np.int32)
-                later[first] = 0
-                seeds.append(own.view(np.int64))
-                places.append(at.astype(np.int32) * 2 + later)
-                counts.append(len(own))
-            rows = np.repeat(np.arange(len(lists)), counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(seeds)), batch.column("row").take(pa.array(rows)), pa.array(np.concatenate(places))],
-                ["seed", "row", "place"],
-            )
+                yield row, s[at], at.astype(np.int32)
+
+    return lambda batches: _grouped(found(batches), parts, bits)
+
+
+def _pairer(parts: int, bits: int):
+    """Pairs of a row's open seeds, ``NEAR`` to ``FAR`` words apart."""
+
+    def found(batches):
+        for batch in batches:
+            for i, row in enumerate(batch.column("row").to_pylist()):
+                place = batch.column("xs")[i].values.to_numpy().astype(np.int64)
+                seed = mix(batch.column("seeds")[i].values.to_numpy().view(np.uint64))
+                low, high = np.searchsorted(place, place + NEAR), np.searchsorted(place, place + FAR, "right")
+                count = high - low
+                u = np.repeat(np.arange(len(place)), count)
+                v = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
+                yield row, mix(seed[u] * GOLDEN + seed[v]), place[u] * 64 + place[v] - place[u]
+
+    return lambda batches: _grouped(found(batches), parts, bits)
+
+
+def _matcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells come sorted by part. All holders of a key that has several, each with the first; a first with itself."""
+    held, now = [], None
+
+    def close():
+        key, row, place = (np.concatenate(c) for c in zip(*held))
+        order = key.argsort(kind="stable")
+        key = key[order]
+        same = np.concatenate(([False], key[1:] == key[:-1], [False]))
+        shared = same[1:] | same[:-1]
+        order, key = order[shared], key[shared]
+        row, place = row[order], place[order]
+        order = np.lexsort((place, row, key))
+        key, row, place = key[order], row[order], place[order]
+        head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+        first = np.repeat(head, np.diff(np.append(head, len(key))))
+        yield from _match_rows(key, row, row[first], place, place[first])
+
+    for batch in batches:
+        for cell in batch.to_pylist():
+            if held and cell["part"] != now:
+                yield from close()
+                held = []
+            now, rows = cell["part"], np.frombuffer(cell["rows"], np.int64)
+            keys, docs, places = (_unpack(cell[c]) for c in ("keys", "docs", "places"))
+            if cell["local"]:
+                yield from _match_rows(keys, rows[docs], rows[_unpack(cell["anchors"])], places, _unpack(cell["firsts"]))
+            else:
+                held.append((np.cumsum(keys, dtype=np.uint64), rows[docs], places))
+    if held:
+        yield from close()
 
-    return seed
+
+def _match_rows(*columns: np.ndarray, size: int = 100_000) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(columns[0]), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c[i : i + size].astype(np.int64)) for c in columns], _MATCH)
 
 
 def chains(x: list[int], a: list[int], max_gap: int = MAX_GAP) -> list[list[int]]:
@@ -109,7 +233,7 @@ def chains(x: list[int], a: list[int], max_gap: int = MAX_GAP) -> list[list[int]
     return out
 
 
-def thinned(x: np.ndarray, a: np.ndarray, every: int = 8) -> tuple[list[int], list[int]]:
+def thinned(x: np.ndarray, a: np.ndarray, every: int = RUN) -> tuple[list[int], list[int]]:
     """Matches without most of the inner ones of a diagonal: all words between those left are equal."""
     if len(x) <= every:
         return x.tolist(), a.tolist()
@@ -121,45 +245,87 @@ def thinned(x: np.ndarray, a: np.ndarray, every: int = 8) -> tuple[list[int], li
     return x[left].tolist(), a[left].tolist()
 
 
-def _chainer():
-    def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (row, anchor, place); a group may go on in the next batch."""
-        held, key = ([], []), None
+def certain(x: list[int], a: list[int], min_words: int, similarity: float) -> list[tuple[int, int]]:
+    """Stretches of a chain that its matches alone prove long and alike enough."""
+    out, first, equal = [], 0, RUN
+    for i in range(1, len(x) + 1):
+        dx, da = (x[i] - x[i - 1], a[i] - a[i - 1]) if i < len(x) else (MAX_GAP + 1, 0)
+        if max(dx, da) > MAX_GAP:
+            own, other = x[i - 1] + RUN - x[first], a[i - 1] + RUN - a[first]
+            if own >= min_words and equal >= similarity * max(own, other):
+                out.append((x[first], x[i - 1] + RUN))
+            first, equal = i, RUN
+        else:
+            equal += dx if dx == da <= RUN else min(dx, da, RUN)
+    return out
+
 
-        def close(out):
-            if sum(map(len, held[0])) < 2:
-                return
-            x, a = thinned(np.concatenate(held[0]), np.concatenate(held[1]))
-            for found in chains(x, a):
-                xs, ys = [x[i] for i in found], [a[i] for i in found]
-                out.append((*key, ys[0], ys[-1], xs, ys))
+def _chainer(pairs: bool, min_words: int, similarity: float):
+    """Chains of each row with each anchor; of single seeds also the shared ones that stay ``open``.
+
+    Matches come sorted by (row, anchor, x, a); a row may go on in the next batch. There are
+    no more of them than seeds or pairs in the row's text.
+    """
 
+    def of_row(row: int, seed, anchor, x, a, out: list[tuple]) -> None:
+        edges = np.flatnonzero(np.diff(anchor)) + 1
+        sure = []
+        for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(anchor)]):
+            mine, other = x[i:j], a[i:j]
+            if anchor[i] == row:
+                mine, other = mine[mine != other], other[mine != other]
+            if pairs and len(mine):
+                both = np.stack((np.concatenate((mine >> 6, (mine >> 6) + (mine & 63))), np.concatenate((other >> 6, (other >> 6) + (other & 63)))))
+                mine, other = np.unique(both, axis=1)
+            if len(mine) < 2:
+                continue
+            xs, ys = thinned(mine, other)
+            for found in chains(xs, ys):
+                cx, ca = [xs[k] for k in found], [ys[k] for k in found]
+                out.append((row, int(anchor[i]), ca[0], ca[-1], cx, ca, None))
+                sure += certain(cx, ca, min_words, similarity)
+        if pairs:
+            return
+        x, at = np.unique(x, return_index=True)
+        inside = np.zeros(len(x) + 1, np.int64)
+        for s, e in sure:
+            inside[np.searchsorted(x, s)] += 1
+            inside[np.searchsorted(x, e - RUN, "right")] -= 1
+        free = np.cumsum(inside[:-1]) <= 0
+        x, at = x[free], at[free]
+        if len(x) and (np.searchsorted(x, x + FAR, "right") > np.searchsorted(x, x + NEAR)).any():
+            out.append((row, None, None, None, x, None, seed[at]))
+
+    def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             out: list[tuple] = []
-            row, anchor, x, a = (batch.column(c).to_numpy() for c in ("row", "anchor", "x", "a"))
-            edges = np.flatnonzero((np.diff(row) != 0) | (np.diff(anchor) != 0)) + 1
-            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(row)]):
+            columns = [batch.column(c).to_numpy() for c in ("row", "seed", "anchor", "x", "a")]
+            edges = np.flatnonzero(np.diff(columns[0])) + 1
+            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(columns[0])]):
                 if i == j:
                     continue
-                now = (int(row[i]), int(anchor[i]))
-                if now != key:
-                    close(out)
-                    held, key = ([], []), now
-                held[0].append(x[i:j])
-                held[1].append(a[i:j])
+                if held and held[0][0][0] != columns[0][i]:
+                    of_row(int(held[0][0][0]), *(np.concatenate(c) for c in list(zip(*held))[1:]), out)
+                    held = []
+                held.append(tuple(c[i:j] for c in columns))
             yield _chain_rows(out)
         out = []
-        close(out)
+        if held:
+            of_row(int(held[0][0][0]), *(np.concatenate(c) for c in list(zip(*held))[1:]), out)
         yield _chain_rows(out)
 
     return chain
 
 
+_CHAIN = "row long, anchor long, low int, high int, xs array<int>, ys array<int>, seeds array<long>"
+
+
 def _chain_rows(out: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-    columns = zip(*out) if out else [[]] * 6
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    columns = zip(*out) if out else [[]] * 7
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["row", "anchor", "low", "high", "xs", "ys"]
+        [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["row", "anchor", "low", "high", "xs", "ys", "seeds"]
     )
 
 
@@ -270,45 +436,6 @@ def _aligner(similarity: float):
     return parts
 
 
-def _closer(min_words: int):
-    def close(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = []
-            for parts in batch.column("parts"):
-                both = [(p["start"], p["end"]) for p in parts.as_py()]
-                found = covered(max(e for _, e in both), both, min_words)
-                spans.append([{"start": s, "end": e} for s, e in found])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(spans, kind)], ["row", "spans"])
-
-    return close
-
-
-def _pairer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a row's seeds, ``NEAR`` to ``FAR`` words apart; rows come with their seeds by place."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            seeds = batch.column("seeds")[i].values
-            place = seeds.field("x").to_numpy()
-            seed = seeds.field("seed").to_numpy().view(np.uint64)
-            fresh = seeds.field("fresh").to_numpy(zero_copy_only=False)
-            low, high = np.searchsorted(place, place + NEAR), np.searchsorted(place, place + FAR, "right")
-            count = high - low
-            u = np.repeat(np.arange(len(place)), count)
-            v = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
-            row = batch.column("row")[i].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(mix(seed[u] * GOLDEN + seed[v]).view(np.int64)),
-                    pa.array(np.full(len(u), row, np.int64)),
-                    pa.array(place[u]),
-                    pa.array(place[v]),
-                    pa.array(fresh[u] | fresh[v]),
-                ],
-                ["key", "row", "u", "v", "fresh"],
-            )
-
-
 def _cleaner(min_words: int):
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,70 +468,43 @@ def _cut(text: str, parts: list[dict], min_words: int):
     return spans, "".join([*keep, text[last:]])
 
 
-def _parts(matches: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
-    """Accepted parts (row, start, end, other_id) of the chains of matches (row, anchor, x, a)."""
-    dealt = matches.repartition("row").sortWithinPartitions("row", "anchor", "x", "a")
-    chained = write_and_reread(
-        dealt.mapInArrow(_chainer(), "row long, anchor long, low int, high int, xs array<int>, ys array<int>"), "chains"
+def _matches(cells: DataFrame) -> DataFrame:
+    """(seed, row, anchor, x, a) of each shared key's holders."""
+    return cells.repartition("part").sortWithinPartitions("part").mapInArrow(
+        _matcher, "seed long, row long, anchor long, x long, a long"
     )
+
+
+def _chains(matches: DataFrame, pairs: bool, min_words: int, similarity: float) -> DataFrame:
+    dealt = matches.repartition("row").sortWithinPartitions("row", "anchor", "x", "a")
+    return write_and_reread(dealt.mapInArrow(_chainer(pairs, min_words, similarity), _CHAIN), "chains")
+
+
+def _layout(n: int) -> tuple[int, int]:
+    """(parts, leading bits of a key to keep) for ``n`` keys: one key in a thousand meets a stranger."""
+    parts = 1 << max(4, math.ceil(math.log2(max(n, 1) / PART)))
+    return parts, min(64, max(32, math.ceil(math.log2(max(n, 1))) + 10))
+
+
+def _parts(chained: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
+    """Accepted parts (row, start, end, other_id) of chains."""
+    chained = chained.select("row", "anchor", "low", "high", "xs", "ys")
     wanted = chained.select("row").union(chained.select("anchor")).distinct()
-    held = named.join(broadcast_if_small(wanted), "row", "left_semi")
+    held = named.join(broadcast_if_small(wanted), "row", "left_semi").dropDuplicates(["row"])
     holders = held.select(F.col("row").alias("anchor"), F.col("id").alias("other_id"), "text")
     fetched = chained.join(holders, "anchor").mapInArrow(
         _fetch, "row long, xs array<int>, ys array<int>, other_id long, passage string, from int"
     )
     hits = fetched.groupBy("row").agg(F.collect_set(F.struct("xs", "ys", "other_id", "passage", "from")).alias("hits"))
-    found = held.select("row", "text").join(hits, "row").mapInArrow(
+    return held.select("row", "text").join(hits, "row").mapInArrow(
         _aligner(similarity), "row long, start int, end int, other_id long"
     )
-    return write_and_reread(found.distinct(), "parts")
 
 
 def _by_row(parts: DataFrame) -> DataFrame:
     return parts.groupBy("row").agg(F.collect_set(F.struct("start", "end", "other_id")).alias("parts"))
 
 
-def _uncovered(places: DataFrame, parts: DataFrame, starts: list[str], min_words: int) -> DataFrame:
-    """``places`` with ``open``: a run at one of its ``starts`` lies in no passage of its row."""
-    spans = _by_row(parts).mapInArrow(_closer(min_words), "row long, spans array<struct<start:int,end:int>>")
-    fresh = F.lit(False)
-    for x in starts:
-        inside = F.exists("spans", lambda s: (s["start"] <= F.col(x)) & (s["end"] >= F.col(x) + RUN))  # noqa: B023
-        fresh = fresh | ~F.coalesce(inside, F.lit(False))
-    return places.join(spans, "row", "left").withColumn("open", fresh).drop("spans")
-
-
-def _of_pairs(shared: DataFrame, parts: DataFrame, named: DataFrame, min_words: int, similarity: float) -> DataFrame:
-    """Parts that pairs of still uncovered seeds lead to, with the pairs' first and then all earlier holders."""
-    later = F.expr("row <> anchor or x <> a")
-    marked = write_and_reread(
-        _uncovered(shared, parts, ["x"], min_words).select("seed", "row", "x", (F.col("open") & later).alias("fresh")), "open"
-    )
-    wanted = marked.where("fresh").select("seed").distinct()
-    rows = (
-        marked.join(wanted, "seed", "left_semi")
-        .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("x", "seed", "fresh"))).alias("seeds"))
-    )
-    pairs = rows.mapInArrow(_pairer, "key long, row long, u int, v int, fresh boolean")
-    pairs = write_and_reread(pairs, "pairs")
-    firsts = (
-        pairs.groupBy("key")
-        .agg(F.count("*").alias("n"), F.max("fresh").alias("any"), F.min(F.struct("row", "u", "v")).alias("first"))
-        .where("n > 1 and any")
-        .select("key", "first")
-    )
-    pairs = write_and_reread(pairs.join(firsts, "key"), "pairs")
-    here = F.struct("row", "u", "v")
-    both = F.explode(F.array(F.struct(F.col("u").alias("x"), F.col("b.u").alias("a")), F.struct(F.col("v").alias("x"), F.col("b.v").alias("a"))))
-    matched = lambda found: found.select("row", F.col("b.row").alias("anchor"), both.alias("m")).select("row", "anchor", "m.x", "m.a").distinct()
-    more = _parts(matched(pairs.where(F.col("fresh") & (here != F.col("first"))).withColumnRenamed("first", "b")), named, similarity)
-    left = _uncovered(pairs.where("fresh"), parts.union(more), ["u", "v"], min_words).where("open")
-    earlier = pairs.select("key", here.alias("b")).where(F.col("b") != F.col("first"))
-    rest = left.join(earlier, "key").where(F.col("b") < here)
-    return more.union(_parts(matched(rest), named, similarity))
-
-
 def repeated_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -427,23 +527,14 @@ def repeated_passages(
     text = F.col(f"`{text_col}`").cast("string")
     row = F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("row")
     named = docs.where(text.isNotNull()).select(row, F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    seeds = write_and_reread(
-        named.select("row", "text").mapInArrow(_seeder(window), "seed long, row long, place int"), "seeds"
-    )
-    first = F.when(F.col("place") % 2 == 0, F.col("row"))
-    anchors = (
-        seeds.groupBy("seed")
-        .agg(F.count("*").alias("n"), F.min("row").alias("anchor"), F.min_by("place", first).alias("a"))
-        .where("n > 1")
-    )
-    shared = write_and_reread(
-        seeds.join(anchors, "seed").select(
-            "seed", "row", "anchor", F.expr("place div 2").cast("int").alias("x"), F.expr("a div 2").cast("int").alias("a")
-        ),
-        "shared-seeds",
-    )
-    parts = _parts(shared.where("row <> anchor or x <> a").select("row", "anchor", "x", "a"), named, similarity)
-    parts = parts.union(_of_pairs(shared, parts, named, min_words, similarity))
+    chars = named.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts, bits = _layout(chars // 5)
+    cells = named.select("row", "text").mapInArrow(_seeder(window, parts, bits), _CELL_KIND)
+    chained = _chains(_matches(cells), False, min_words, similarity)
+    loose = chained.where("anchor is null").select("row", "xs", "seeds")
+    cells = loose.mapInArrow(_pairer(*_layout(chars)), _CELL_KIND)
+    paired = _chains(_matches(cells), True, min_words, similarity)
+    parts = _parts(chained.where("anchor is not null").union(paired), named, similarity)
     packed = docs.select(row, F.struct(*(F.col(f"`{c}`") for c in own)).alias("all"))
     whole = packed.join(_by_row(parts), "row", "left").select(
         "all", F.col(f"all.`{text_col}`").cast("string").alias("text"), "parts"
