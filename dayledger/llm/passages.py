@@ -38,8 +38,10 @@ RUN, WINDOW, MIN_WORDS, SIMILARITY = 5, 1, 50, 0.8
 MAX_GAP, FLANK, LEAST = 64, 64, 15
 #: Words between the two seeds of a pair.
 NEAR, FAR = 20, 40
+#: Of seeds at most so many words apart one is paired.
+REACH = 4
 #: Keys that a task sorts at once, and keys of a part of the exchange, about.
-GROUP, PART = 1 << 22, 1 << 21
+GROUP, PART = 1 << 22, 1 << 22
 
 
 def seed_places(s: np.ndarray, window: int) -> np.ndarray:
@@ -70,6 +72,17 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _pack_steps(values: np.ndarray) -> bytes:
+    """Whole numbers as steps from one to the next, the sign in the last bit."""
+    steps = np.diff(values.astype(np.int64), prepend=0)
+    return _pack(np.where(steps < 0, -2 * steps - 1, 2 * steps))
+
+
+def _unpack_steps(data: bytes) -> np.ndarray:
+    steps = _unpack(data).astype(np.int64)
+    return np.cumsum(np.where(steps & 1, -(steps + 1) // 2, steps // 2))
+
+
 _CELL = pa.schema(
     [("part", pa.int64()), ("local", pa.bool_())]
     + [(c, pa.binary()) for c in ("rows", "keys", "docs", "places", "anchors", "firsts")]
@@ -96,12 +109,13 @@ def _cells(held: list[tuple], parts: int, bits: int) -> pa.RecordBatch:
     out = []
     again = np.flatnonzero(~new)
     if len(again):
-        at, to = np.concatenate((again, np.unique(first[again]))), np.concatenate((first[again], np.unique(first[again])))
+        of = np.unique(first[again])
+        at, to = np.concatenate((again, of)), np.concatenate((first[again], of))
+        by = np.lexsort((place[at], doc[to], doc[at]))  # whole copies give steps of one
+        at, to = at[by], to[by]
         used, both = np.unique(np.concatenate((doc[at], doc[to])), return_inverse=True)
-        out.append(
-            (int(rows[0]) % parts, True, rows[used].tobytes(), _pack(key[at]), _pack(both[: len(at)]), _pack(place[at]))
-            + (_pack(both[len(at) :]), _pack(place[to]))
-        )
+        steps = (_pack_steps(c) for c in (both[: len(at)], place[at], both[len(at) :], place[to]))
+        out.append((int(rows[0]) % parts, True, rows[used].tobytes(), _pack(key[at]), *steps))
     shift = np.uint64(bits - parts.bit_length() + 1)
     cuts = np.searchsorted(key[head], np.arange(parts, dtype=np.uint64) << shift).tolist() + [len(head)]
     for part, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
@@ -137,14 +151,26 @@ def _seeder(window: int, parts: int, bits: int):
     return lambda batches: _grouped(found(batches), parts, bits)
 
 
+def sparse(place: np.ndarray, seed: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """Which seeds are the least of those at most ``reach`` places away: a run of one to ``reach`` seeds keeps one."""
+    keep = np.ones(len(place), bool)
+    for k in range(1, reach + 1):
+        near = place[k:] - place[:-k] <= reach
+        keep[:-k] &= ~near | (seed[:-k] <= seed[k:])
+        keep[k:] &= ~near | (seed[k:] <= seed[:-k])
+    return keep
+
+
 def _pairer(parts: int, bits: int):
-    """Pairs of a row's open seeds, ``NEAR`` to ``FAR`` words apart."""
+    """Pairs of a row's open seeds, ``NEAR`` to ``FAR`` words apart, least ones of their surroundings."""
 
     def found(batches):
         for batch in batches:
             for i, row in enumerate(batch.column("row").to_pylist()):
                 place = batch.column("xs")[i].values.to_numpy().astype(np.int64)
                 seed = mix(batch.column("seeds")[i].values.to_numpy().view(np.uint64))
+                left = sparse(place, seed)
+                place, seed = place[left], seed[left]
                 low, high = np.searchsorted(place, place + NEAR), np.searchsorted(place, place + FAR, "right")
                 count = high - low
                 u = np.repeat(np.arange(len(place)), count)
@@ -170,7 +196,8 @@ def _matcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, row, place = key[order], row[order], place[order]
         head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         first = np.repeat(head, np.diff(np.append(head, len(key))))
-        yield from _match_rows(key, row, row[first], place, place[first])
+        by = np.lexsort((place, row[first], row))  # alike rows side by side shuffle smaller
+        yield from _match_rows(*(c[by] for c in (key, row, row[first], place, place[first])))
 
     for batch in batches:
         for cell in batch.to_pylist():
@@ -178,11 +205,12 @@ def _matcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from close()
                 held = []
             now, rows = cell["part"], np.frombuffer(cell["rows"], np.int64)
-            keys, docs, places = (_unpack(cell[c]) for c in ("keys", "docs", "places"))
+            keys = _unpack(cell["keys"])
             if cell["local"]:
-                yield from _match_rows(keys, rows[docs], rows[_unpack(cell["anchors"])], places, _unpack(cell["firsts"]))
+                docs, places, anchors, firsts = (_unpack_steps(cell[c]) for c in ("docs", "places", "anchors", "firsts"))
+                yield from _match_rows(keys, rows[docs], rows[anchors], places, firsts)
             else:
-                held.append((np.cumsum(keys, dtype=np.uint64), rows[docs], places))
+                held.append((np.cumsum(keys, dtype=np.uint64), rows[_unpack(cell["docs"])], _unpack(cell["places"])))
     if held:
         yield from close()
 
@@ -481,9 +509,9 @@ def _chains(matches: DataFrame, pairs: bool, min_words: int, similarity: float)
 
 
 def _layout(n: int) -> tuple[int, int]:
-    """(parts, leading bits of a key to keep) for ``n`` keys: one key in a thousand meets a stranger."""
+    """(parts, leading bits of a key to keep) for ``n`` keys: one key in 64 meets a stranger."""
     parts = 1 << max(4, math.ceil(math.log2(max(n, 1) / PART)))
-    return parts, min(64, max(32, math.ceil(math.log2(max(n, 1))) + 10))
+    return parts, min(64, max(32, math.ceil(math.log2(max(n, 1))) + 6))
 
 
 def _parts(chained: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
