@@ -41,7 +41,7 @@ NEAR, FAR = 20, 40
 #: Of seeds at most so many words apart one is paired.
 REACH = 4
 #: Keys that a task sorts at once, and keys of a part of the exchange, about.
-GROUP, PART = 1 << 22, 1 << 22
+GROUP, PART = 1 << 21, 1 << 22
 
 
 def seed_places(s: np.ndarray, window: int) -> np.ndarray:
@@ -98,7 +98,7 @@ def _cells(held: list[tuple], parts: int, bits: int) -> pa.RecordBatch:
     """
     held.sort(key=lambda h: h[0])
     rows = np.array([h[0] for h in held], np.int64)
-    doc = np.repeat(np.arange(len(held)), [len(h[1]) for h in held])
+    doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(h[1]) for h in held])
     key = np.concatenate([h[1] for h in held]) >> np.uint64(64 - bits)
     place = np.concatenate([h[2] for h in held])
     order = key.argsort(kind="stable")
@@ -273,23 +273,24 @@ def thinned(x: np.ndarray, a: np.ndarray, every: int = RUN) -> tuple[list[int],
     return x[left].tolist(), a[left].tolist()
 
 
-def certain(x: list[int], a: list[int], min_words: int, similarity: float) -> list[tuple[int, int]]:
-    """Stretches of a chain that its matches alone prove long and alike enough."""
-    out, first, equal = [], 0, RUN
+def pieces(x: list[int], a: list[int], min_words: int, similarity: float) -> Iterator[tuple[int, int, bool]]:
+    """(first, last, proved) of a chain parted at gaps over ``MAX_GAP``: do its matches alone prove it long and alike?"""
+    first, equal = 0, RUN
     for i in range(1, len(x) + 1):
         dx, da = (x[i] - x[i - 1], a[i] - a[i - 1]) if i < len(x) else (MAX_GAP + 1, 0)
         if max(dx, da) > MAX_GAP:
             own, other = x[i - 1] + RUN - x[first], a[i - 1] + RUN - a[first]
-            if own >= min_words and equal >= similarity * max(own, other):
-                out.append((x[first], x[i - 1] + RUN))
+            yield first, i - 1, own >= min_words and equal >= similarity * max(own, other)
             first, equal = i, RUN
         else:
             equal += dx if dx == da <= RUN else min(dx, da, RUN)
-    return out
 
 
 def _chainer(pairs: bool, min_words: int, similarity: float):
-    """Chains of each row with each anchor; of single seeds also the shared ones that stay ``open``.
+    """Chains of each row with each anchor; of single seeds also the shared ones that no proved stretch covers.
+
+    A stretch that its matches prove is handed on by its start and end, without places of the anchor;
+    only its two ends are aligned, as chains of one match.
 
     Matches come sorted by (row, anchor, x, a); a row may go on in the next batch. There are
     no more of them than seeds or pairs in the row's text.
@@ -310,8 +311,13 @@ def _chainer(pairs: bool, min_words: int, similarity: float):
             xs, ys = thinned(mine, other)
             for found in chains(xs, ys):
                 cx, ca = [xs[k] for k in found], [ys[k] for k in found]
-                out.append((row, int(anchor[i]), ca[0], ca[-1], cx, ca, None))
-                sure += certain(cx, ca, min_words, similarity)
+                for f, e, proved in pieces(cx, ca, min_words, similarity):
+                    if not proved:
+                        out.append((row, int(anchor[i]), ca[f], ca[e], cx[f : e + 1], ca[f : e + 1], None))
+                        continue
+                    sure.append((cx[f], cx[e] + RUN))
+                    out.append((row, int(anchor[i]), 0, 0, [*sure[-1]], [], None))
+                    out += [(row, int(anchor[i]), ca[k], ca[k], [cx[k]], [ca[k]], None) for k in (f, e)]
         if pairs:
             return
         x, at = np.unique(x, return_index=True)
@@ -362,7 +368,11 @@ def _fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, words = None, []
     for batch in batches:
         passages, starts = [], []
-        for anchor, low, high, text in zip(*(batch.column(c) for c in ("anchor", "low", "high", "text"))):
+        for anchor, low, high, text, ys in zip(*(batch.column(c) for c in ("anchor", "low", "high", "text", "ys"))):
+            if not len(ys):  # proved, needs no words
+                passages.append("")
+                starts.append(0)
+                continue
             if anchor.as_py() != last:
                 last, words = anchor.as_py(), words_of(text.as_py())
             start = max(0, low.as_py() - FLANK)
@@ -451,6 +461,9 @@ def _aligner(similarity: float):
             for row, text, hits in zip(*(batch.column(c) for c in ("row", "text", "hits"))):
                 x = hashes(words_of(text.as_py()))
                 for hit in hits.as_py():
+                    if not hit["ys"]:
+                        out.append((row.as_py(), *hit["xs"], hit["other_id"]))
+                        continue
                     a = hashes(hit["passage"].split(" "))
                     for start, end, span, equal in align(x, a, hit["xs"], [y - hit["from"] for y in hit["ys"]]):
                         if end - start >= LEAST and equal >= similarity * max(end - start, span):
