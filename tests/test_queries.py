@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from dayledger.operators import dedup
 from dayledger.operators.extract import extract_events
 from dayledger.operators.status import current_status
-from dayledger.plans import catalogue, store_queries
+from dayledger.plans import catalogue, corpus, store_queries
 
 SMALL = contract.SMALL
 
@@ -33,6 +33,22 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["cited_sections", "reactor_units", "failed_events", "events_by_year_and_category"])
+def test_filters_stay_above_the_extraction(spark, name):
+    """Below it, they would hold its patterns once more for every use."""
+    text = contract.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    filters = text.split("Filter ")[1:]
+    assert all("Project" in part.split("\n")[1] for part in filters)
+    assert not any("regexp" in part.split("\n")[0] or "RLIKE" in part.split("\n")[0] for part in filters)
+
+
+def test_page_text_is_rendered_after_the_short_columns_are_dealt_out(spark):
+    """No text below the last exchange, nor below the sort by year, which serves the folders too."""
+    text = plan(corpus.render_pages(corpus.source_events(spark, SMALL)))
+    assert text.index("grid border") < text.index("Sort [year") < text.index("Exchange")
+    assert "grid border" not in text[text.index("Sort [year") :]
+
+
 def test_extraction_scans_once_without_shuffle_or_python(spark):
     text = plan(extract_events(catalogue.rendered(spark, SMALL)))
     assert text.count("FileScan") == 1
