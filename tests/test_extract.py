@@ -5,6 +5,7 @@ import pages as p
 import pytest
 from pyspark.sql import functions as F
 
+from dayledger.operators import modern, plaintext
 from dayledger.operators.classify import detect_format
 from dayledger.operators.extract import events_of, extract_events, extract_rows, parse_errors_of
 from dayledger.schemas import CATEGORIES, EVENT
@@ -273,3 +274,35 @@ def test_unclosed_comments_and_scripts_take_linear_time(spark, broken):
     began = time.monotonic()
     detect_format(frame(spark, html)).collect()
     assert time.monotonic() - began < 4
+
+
+def test_page_text_is_cut_once_for_the_report_date_and_once_for_a_title():
+    assert str(plaintext.report_date(F.col("x"))).count("Event Reports For") == 1
+    assert "(.*)" not in str(modern.person_text(F.col("x")))
+
+
+def test_title_spellings_and_days_in_blocks(spark):
+    html = (
+        "<div><div>Person (Organization):<br>Old (A)</div><div><p>Person(Organization):<div>x</div> New (B)</p></div>"
+        "</div>"
+    )
+    df = spark.createDataFrame([(html,), ("<div>none</div>",)], "x string")
+    assert [r.t.split() for r in df.select(modern.person_text(F.col("x")).alias("t")).collect()] == [
+        ["x", "New", "(B)"],
+        [],
+    ]
+
+
+@pytest.mark.parametrize(
+    "line, found",
+    [
+        ("|A|B |Event Number: 7 |", ("A|B", "7")),
+        ("|A |Event Number: x |Event Number: 7|", ("A |Event Number: x", "7")),
+        ("|||Event Number: 8|", ("|", "8")),
+        ("||Event Number: 8|", ("", "")),
+    ],
+)
+def test_category_reaches_to_the_number_cell(spark, line, found):
+    df = spark.createDataFrame([(line,)], "x string")
+    row = df.select(plaintext.category_text(F.col("x")).alias("c"), plaintext.event_ref(F.col("x")).alias("n")).first()
+    assert (row.c, row.n) == found

@@ -172,3 +172,27 @@ def test_long_pages_do_not_exhaust_the_stack(spark):
     size = one(spark, html, lambda c: F.length(markup.inside(F.substr(c, F.lit(6)), "div")))
     assert size == len(inner)
     assert one(spark, html, lambda c: F.length(text.joined_text(c))) == 200_000
+
+
+@pytest.mark.parametrize(
+    "line, expected",
+    [
+        ("- A B (ORG) (EMAIL)", ("A B", "ORG")),
+        ("--X (O)", ("-X", "O")),
+        ("A) (B) C (D(E)", ("A) (B) C", "D(E")),
+        ("A, (O )", ("A", "O")),
+        ("LIST (EMAIL)", ("LIST", "EMAIL")),
+        ("A ()", ("A ()", "")),
+        ("(X)", ("(X)", "")),
+        ("A \t (O", ("A (O", "")),
+        ("- (O)", None),
+    ],
+)
+def test_brackets_of_contacts(spark, line, expected):
+    found = [(p["name"], p["organization"]) for p in one(spark, f" \n{line}\xa0", lists.persons)]
+    assert found == ([] if expected is None else [expected])
+
+
+def test_a_line_of_contacts_is_read_by_few_functions():
+    # Lambdas are not generated code and share nothing: every part written twice is run twice.
+    assert str(lists.persons(F.col("x"))).count("substring") <= 4
