@@ -16,6 +16,7 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,9 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dayledger.llm.units import ranges
+from dayledger.llm.words import GOLDEN
 from dayledger.session import write_and_reread
 
 CHUNK, BLOCK, NEVER = 32_768, 64, -(1 << 62)
+#: Units of up to so many characters are encoded many at once, where there are so many new ones.
+WIDE, MANY = 24, 100
 _UNIT = re.compile(r"\n| *[^ \n]+| +")
 _CUT = re.compile(r"(?<=[^ ])(?= )|(?=\n)|(?<=\n)")
 
@@ -63,6 +68,7 @@ class Vocabulary:
         if any(_CUT.search(p) for p in self.pieces):
             raise ValueError("a piece of this vocabulary goes on over a blank or a line feed")
         self.size, self.known = size, {}
+        self._grow()
         self.sizes = np.array([len(b) for b in self.bytes_of])
         self.firsts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
@@ -71,6 +77,95 @@ class Vocabulary:
     def _whole(score: float, i: int) -> int:
         return (round(score * 65536) << 12) + (xxhash.xxh32_intdigest(i.to_bytes(4, "little")) & 4095)
 
+    def _grow(self) -> None:
+        """The pieces as a trie: steps (node, character) -> node in a table with open addressing."""
+        nodes: dict[str, int] = {"": 0}
+        steps = []
+        for piece in self.pieces:
+            for k in range(1, len(piece) + 1):
+                if piece[:k] not in nodes:
+                    nodes[piece[:k]] = len(nodes)
+                    steps.append((nodes[piece[: k - 1]] << 21 | ord(piece[k - 1]), len(nodes) - 1))
+        bits = (4 * len(steps)).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.step_key, self.step_to = np.full(1 << bits, -1), np.zeros(1 << bits, np.int32)
+        key, to = np.array(steps).T
+        for at, k, t in zip(self._slot(key).tolist(), key.tolist(), to.tolist()):
+            while self.step_key[at] >= 0:
+                at = (at + 1) & self.mask
+            self.step_key[at], self.step_to[at] = k, t
+        self.node_score, self.node_id = np.full(len(nodes), NEVER), np.full(len(nodes), -1, np.int32)
+        for piece, (score, i) in self.pieces.items():
+            self.node_score[nodes[piece]], self.node_id[nodes[piece]] = score, i
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * GOLDEN) >> self.shift).astype(np.int64)
+
+    def _step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The nodes after ``char``, -1 where there is none."""
+        key = node.astype(np.int64) << 21 | char
+        at = self._slot(key)
+        found = self.step_key[at]
+        other = np.flatnonzero((found != key) & (found >= 0))
+        while len(other):
+            at[other] = (at[other] + 1) & self.mask
+            found[other] = self.step_key[at[other]]
+            other = other[(found[other] != key[other]) & (found[other] >= 0)]
+        return np.where(found == key, self.step_to[at], -1)
+
+    def _many(self, units: list[str]) -> list[tuple[int, bytes]]:
+        """As ``_unit`` for each of them, which have ``WIDE`` characters at most."""
+        n = np.fromiter(map(len, units), np.int64, len(units))
+        longest = int(n.max())
+        chars = np.ascontiguousarray(np.array(units, f"U{longest}").view(np.uint32).reshape(len(units), longest).T.astype(np.int64))
+        score = np.full((longest + 1, len(units)), NEVER)
+        score[0] = 0
+        start, piece = np.zeros(score.shape, np.int8), np.zeros(score.shape, np.int32)
+        odd = np.zeros(len(units), bool)
+        for p in range(longest):
+            rows = np.flatnonzero((n > p) & ~odd)
+            node, now = np.zeros(len(rows), np.int32), score[p, rows]
+            for to in range(p + 1, min(p + self.longest, longest) + 1):
+                if to > p + 1:
+                    inside = n[rows] >= to
+                    rows, node, now = rows[inside], node[inside], now[inside]
+                node = self._step(node, chars[to - 1, rows])
+                if to == p + 1:
+                    odd[rows[(node < 0) | (self.node_id[node] < 0)]] = True
+                known = node >= 0
+                rows, node, now = rows[known], node[known], now[known]
+                if not len(rows):
+                    break
+                total = now + self.node_score[node]
+                better = total > score[to, rows]
+                at = rows[better]
+                score[to, at], start[to, at], piece[to, at] = total[better], p, self.node_id[node[better]]
+        ids, used = np.zeros((len(units), longest), "<i4"), np.full(len(units), longest)
+        rows = np.flatnonzero(~odd)
+        place = n[rows]
+        while len(rows):
+            used[rows] -= 1
+            ids[rows, used[rows]] = piece[place, rows]
+            place = start[place, rows].astype(np.int64)
+            rows, place = rows[place > 0], place[place > 0]
+        data, ends = ids.tobytes(), 4 * longest * np.arange(1, len(units) + 1)
+        starts = (ends - 4 * (longest - used)).tolist()
+        out = [(s, data[i:j]) for s, i, j in zip(score[n, np.arange(len(units))].tolist(), starts, ends.tolist())]
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = self._slow_unit(units[i])
+        return out
+
+    def _learn(self, units: Iterable[str]) -> None:
+        """Remember those of ``units`` that are new."""
+        known = self.known
+        new = [u for u in dict.fromkeys(units) if u not in known]
+        wide = [u for u in new if len(u) <= WIDE]
+        if len(wide) >= MANY:
+            known.update(zip(wide, self._many(wide)))
+        for u in new:
+            if u not in known:
+                known[u] = self._unit(u)
+
     def edges(self, text: str, at: int, end: int) -> Iterator[tuple[int, int, tuple[int, ...]]]:
         """(next place, score, ids) of pieces that start at ``at``; there is always one."""
         first = self.pieces.get(text[at])
@@ -139,15 +234,22 @@ class Vocabulary:
         units = _UNIT.findall(text)
         found = list(map(self.known.get, units))
         if None in found:
-            for u in units:
-                if u not in self.known:
-                    self.known[u] = self._unit(u)
+            self._learn(units)
             found = list(map(self.known.__getitem__, units))
         return found
 
     def encode(self, text: str) -> bytes:
         return b"".join([u[1] for u in self.units(text)])
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """As ``encode`` for each; the new units of all are learnt together."""
+        if len(self.known) > self.size:
+            self.known = {}
+        lists = [_UNIT.findall(t) for t in texts]
+        self._learn(chain.from_iterable(lists))
+        known = self.known
+        return [b"".join([known[u][1] for u in units]) for units in lists]
+
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
@@ -267,8 +369,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def small(batches):
         v = vocabulary(path)
         for b in batches:
-            ids = [None if t is None else np.frombuffer(v.encode(" " + t if t else ""), "<i4") for t in b.column("text").to_pylist()]
-            yield _id_rows(b, ids)
+            for start, texts in ranges(b.column("text")):
+                found = v.encode_all([" " + t if t else "" for t in texts])
+                ids = [None if t is None else np.frombuffer(f, "<i4") for t, f in zip(texts, found)]
+                yield _id_rows(b.slice(start, len(texts)), ids)
 
     short = named.where(~giant).select("id", "text").mapInArrow(small, _schema(named))
     chunks = write_and_reread(named.where(giant).select("row", "text").mapInArrow(_chunker(path, chunk), "row long, chunk int, text string, n int"), "chunks")

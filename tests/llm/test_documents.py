@@ -282,6 +282,20 @@ def test_encoding_is_the_best_path():
         assert sum(u[0] for u in v.units(text)) == best[len(text)]
 
 
+def test_units_learnt_together_are_encoded_as_alone():
+    v = maxplus.Vocabulary(PIECE_BPE)
+    words = [f" {a}{b}" for a in ("inter", "donau", "\u00e9t\u00e9", "x\x00", "\x00", "\u4e2d\U0001f600", "\U0001f600") for b in ("national", "", "q\x00", "\u4e2d", "zzzz1999")]
+    words += ["\n", "   ", "a", "\x00", " " + "long" * 30] + [f" {n}th" for n in range(200)]
+    alone = {u: v._unit(u) for u in words}
+    calls, one = [], v._unit
+    v._unit = lambda u: calls.append(u) or one(u)
+    text = " start" + "".join(words)
+    assert v.encode_all([text, "", text]) == [v.encode(text), b"", v.encode(text)]
+    assert all(v.known[u] == alone[u] for u in words if u in v.known) and len(v.known) > 200
+    assert {len(u) > maxplus.WIDE for u in calls} == {True}
+    assert np.frombuffer(v.encode_all([" \x00"])[0], "<i4").tolist() == v.trace(v.best(" \x00", 0, 2, 2), 2)
+
+
 def test_packing_holds_its_contract(spark, odd):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").union(odd.select("doc_id", "text"))
     rows = packing.pack(docs, WORD_BPE).collect()
