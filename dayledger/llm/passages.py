@@ -42,6 +42,10 @@ NEAR, FAR = 20, 40
 REACH = 4
 #: Keys that a task sorts at once, and keys of a part of the exchange, about.
 GROUP, PART = 1 << 21, 1 << 22
+#: Buckets of matches at least, by row; a power of two.
+BUCKETS = 512
+#: Chains whose ends are aligned together.
+TOGETHER = 256
 
 
 def seed_places(s: np.ndarray, window: int) -> np.ndarray:
@@ -88,7 +92,6 @@ _CELL = pa.schema(
     + [(c, pa.binary()) for c in ("rows", "keys", "docs", "places", "anchors", "firsts")]
 )
 _CELL_KIND = "part long, local boolean, rows binary, keys binary, docs binary, places binary, anchors binary, firsts binary"
-_MATCH = ["seed", "row", "anchor", "x", "a"]
 
 
 def _cells(held: list[tuple], parts: int, bits: int) -> pa.RecordBatch:
@@ -101,16 +104,18 @@ def _cells(held: list[tuple], parts: int, bits: int) -> pa.RecordBatch:
     doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(h[1]) for h in held])
     key = np.concatenate([h[1] for h in held]) >> np.uint64(64 - bits)
     place = np.concatenate([h[2] for h in held])
+    held.clear()
     order = key.argsort(kind="stable")
     key, doc, place = key[order], doc[order], place[order]
+    del order
     new = np.concatenate(([True], key[1:] != key[:-1]))
     head = np.flatnonzero(new)
-    first = np.repeat(head, np.diff(np.append(head, len(key))))
     out = []
     again = np.flatnonzero(~new)
     if len(again):
-        of = np.unique(first[again])
-        at, to = np.concatenate((again, of)), np.concatenate((first[again], of))
+        first = head[np.searchsorted(head, again, "right") - 1]
+        of = np.unique(first)
+        at, to = np.concatenate((again, of)), np.concatenate((first, of))
         by = np.lexsort((place[at], doc[to], doc[at]))  # whole copies give steps of one
         at, to = at[by], to[by]
         used, both = np.unique(np.concatenate((doc[at], doc[to])), return_inverse=True)
@@ -135,7 +140,7 @@ def _grouped(found: Iterable[tuple], parts: int, bits: int) -> Iterator[pa.Recor
             n += len(keys)
         if n >= GROUP:
             yield _cells(held, parts, bits)
-            held, n = [], 0
+            n = 0
     if n:
         yield _cells(held, parts, bits)
 
@@ -180,12 +185,12 @@ def _pairer(parts: int, bits: int):
     return lambda batches: _grouped(found(batches), parts, bits)
 
 
-def _matcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _matcher(buckets: int):
     """Cells come sorted by part. All holders of a key that has several, each with the first; a first with itself."""
-    held, now = [], None
 
-    def close():
+    def closed(held: list[tuple]) -> pa.RecordBatch:
         key, row, place = (np.concatenate(c) for c in zip(*held))
+        held.clear()
         order = key.argsort(kind="stable")
         key = key[order]
         same = np.concatenate(([False], key[1:] == key[:-1], [False]))
@@ -196,28 +201,65 @@ def _matcher(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, row, place = key[order], row[order], place[order]
         head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         first = np.repeat(head, np.diff(np.append(head, len(key))))
-        by = np.lexsort((place, row[first], row))  # alike rows side by side shuffle smaller
-        yield from _match_rows(*(c[by] for c in (key, row, row[first], place, place[first])))
+        return _matched(buckets, key, row, row[first], place, place[first])
 
-    for batch in batches:
-        for cell in batch.to_pylist():
-            if held and cell["part"] != now:
-                yield from close()
-                held = []
-            now, rows = cell["part"], np.frombuffer(cell["rows"], np.int64)
-            keys = _unpack(cell["keys"])
-            if cell["local"]:
-                docs, places, anchors, firsts = (_unpack_steps(cell[c]) for c in ("docs", "places", "anchors", "firsts"))
-                yield from _match_rows(keys, rows[docs], rows[anchors], places, firsts)
-            else:
-                held.append((np.cumsum(keys, dtype=np.uint64), rows[_unpack(cell["docs"])], _unpack(cell["places"])))
-    if held:
-        yield from close()
+    def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for cell in batch.to_pylist():
+                if held and cell["part"] != now:
+                    yield closed(held)
+                now, rows = cell["part"], np.frombuffer(cell["rows"], np.int64)
+                keys = _unpack(cell["keys"])
+                if cell["local"]:
+                    docs, places, anchors, firsts = (_unpack_steps(cell[c]) for c in ("docs", "places", "anchors", "firsts"))
+                    yield _matched(buckets, keys, rows[docs], rows[anchors], places, firsts)
+                else:
+                    held.append((np.cumsum(keys, dtype=np.uint64), rows[_unpack(cell["docs"])], _unpack(cell["places"])))
+        if held:
+            yield closed(held)
+
+    return match
+
+
+_MATCHED = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in ("rows", "keys", "docs", "anchors", "places", "firsts")])
+_MATCHED_KIND = "bucket long, rows binary, keys binary, docs binary, anchors binary, places binary, firsts binary"
 
 
-def _match_rows(*columns: np.ndarray, size: int = 100_000) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(columns[0]), size):
-        yield pa.RecordBatch.from_arrays([pa.array(c[i : i + size].astype(np.int64)) for c in columns], _MATCH)
+def _matched(buckets: int, key, row, anchor, place, first) -> pa.RecordBatch:
+    """Matches packed by the bucket of their row, which is the leading bits of the row's hash."""
+    order = np.lexsort((place, anchor, row.view(np.uint64)))  # stretches give steps of one
+    key, row, anchor, place, first = (c[order] for c in (key, row, anchor, place, first))
+    bucket = (row.view(np.uint64) >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(bucket)]
+    out = []
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        used, both = np.unique(np.concatenate((row[i:j], anchor[i:j])), return_inverse=True)
+        steps = (_pack_steps(c) for c in (both[: j - i], both[j - i :], place[i:j], first[i:j]))
+        out.append((int(bucket[i]), used.tobytes(), _pack(key[i:j]), *steps))
+    columns = zip(*out) if out else [[]] * len(_MATCHED)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _MATCHED)], schema=_MATCHED)
+
+
+def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """(seed, row, anchor, x, a) of all matches of a bucket, sorted by (row, anchor, x, a); records come sorted by bucket."""
+    held, now = [], None
+
+    def closed():
+        seed, row, anchor, x, a = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        order = np.lexsort((a, x, anchor, row))
+        return seed[order], row[order], anchor[order], x[order], a[order]
+
+    for batch in batches:
+        for packed in batch.to_pylist():
+            if held and packed["bucket"] != now:
+                yield closed()
+            now, rows = packed["bucket"], np.frombuffer(packed["rows"], np.int64)
+            docs, anchors, places, firsts = (_unpack_steps(packed[c]) for c in ("docs", "anchors", "places", "firsts"))
+            held.append((_unpack(packed["keys"]).astype(np.int64), rows[docs], rows[anchors], places, firsts))
+    if held:
+        yield closed()
 
 
 def chains(x: list[int], a: list[int], max_gap: int = MAX_GAP) -> list[list[int]]:
@@ -292,8 +334,8 @@ def _chainer(pairs: bool, min_words: int, similarity: float):
     A stretch that its matches prove is handed on by its start and end, without places of the anchor;
     only its two ends are aligned, as chains of one match.
 
-    Matches come sorted by (row, anchor, x, a); a row may go on in the next batch. There are
-    no more of them than seeds or pairs in the row's text.
+    Matches come packed by bucket, each bucket with all matches of its rows. There are
+    no more of them than seeds or pairs in the rows' texts.
     """
 
     def of_row(row: int, seed, anchor, x, a, out: list[tuple]) -> None:
@@ -331,23 +373,12 @@ def _chainer(pairs: bool, min_words: int, similarity: float):
             out.append((row, None, None, None, x, None, seed[at]))
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
+        for seed, row, anchor, x, a in _by_bucket(batches):
             out: list[tuple] = []
-            columns = [batch.column(c).to_numpy() for c in ("row", "seed", "anchor", "x", "a")]
-            edges = np.flatnonzero(np.diff(columns[0])) + 1
-            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(columns[0])]):
-                if i == j:
-                    continue
-                if held and held[0][0][0] != columns[0][i]:
-                    of_row(int(held[0][0][0]), *(np.concatenate(c) for c in list(zip(*held))[1:]), out)
-                    held = []
-                held.append(tuple(c[i:j] for c in columns))
+            edges = np.flatnonzero(np.diff(row, prepend=row[0] ^ 1)).tolist() + [len(row)]
+            for i, j in zip(edges[:-1], edges[1:]):
+                of_row(int(row[i]), seed[i:j], anchor[i:j], x[i:j], a[i:j], out)
             yield _chain_rows(out)
-        out = []
-        if held:
-            of_row(int(held[0][0][0]), *(np.concatenate(c) for c in list(zip(*held))[1:]), out)
-        yield _chain_rows(out)
 
     return chain
 
@@ -395,51 +426,83 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(before[-1])
 
 
-def _reach(x: np.ndarray, a: np.ndarray) -> tuple[int, int, int]:
-    """(words of x, words of a, equal words) of the best start: 1 an equal word, -2 an edit."""
-    n = min(len(x), len(a))
-    differ = np.flatnonzero(x[:n] != a[:n])
-    run = int(differ[0]) if len(differ) else n
-    if run == n:
-        return n, n, n
-    x, a = x[run:], a[run:]
+def _flanks(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Short runs as columns of a table, and their lengths."""
+    sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+    out = np.zeros((int(sizes.max(initial=0)), len(runs)), np.uint64)
+    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[within, np.repeat(np.arange(len(runs)), sizes)] = np.concatenate(runs)
+    return out, sizes
+
+
+def _reaches(xs: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """(words of x, words of a, equal words) of the best start of each pair of runs: 1 an equal word, -2 an edit.
+
+    All pairs go through the table row by row together; a pair is left out once no row below can be better.
+    """
+    (x, nx), (a, na) = _flanks(xs), _flanks(others)
+    n = np.minimum(nx, na)
+    most = int(n.max(initial=0))
+    differ = np.concatenate((x[:most] != a[:most], np.ones((1, len(n)), bool)))
+    run = np.minimum(differ.argmax(axis=0), n)
+    out = np.repeat(run[:, None], 3, axis=1)
+    left = np.flatnonzero(run < n)
+    nx, na = (nx - run)[left], (na - run)[left]
+    rows, columns = int(nx.max(initial=0)), int(na.max(initial=0))
+    x = x[np.minimum(run[left] + np.arange(rows)[:, None], len(x) - 1), left]
+    a = a[np.minimum(run[left] + np.arange(columns)[:, None], len(a) - 1), left]
+    is_word = np.arange(columns)[:, None] < na
     unit = 1 << 10  # score in units, equal words below
-    gap = 2 * unit * np.arange(len(a) + 1)
-    row = -gap
-    best, at = 0, (0, 0)
-    for i, v in enumerate(x, 1):
+    gap = (2 * unit * np.arange(columns + 1, dtype=np.int32))[:, None]
+    row = np.repeat(-gap, len(left), axis=1)
+    best = np.zeros(len(left), np.int32)
+    for i in range(rows):
         now = row - 2 * unit
-        now[1:] = np.maximum(now[1:], row[:-1] + np.where(a == v, unit + 1, -2 * unit))
-        row = np.maximum.accumulate(now + gap) - gap
-        j = int(row.argmax())
-        if row[j] > best:
-            best, at = int(row[j]), (i, j)
-    return run + at[0], run + at[1], run + best % unit
+        equal = (a == x[i]) & is_word & (i < nx)
+        np.maximum(now[1:], row[:-1] + np.where(equal, np.int32(unit + 1), np.int32(-2 * unit)), out=now[1:])
+        row = np.maximum.accumulate(now + gap, axis=0) - gap
+        top = row.max(axis=0)
+        at = np.flatnonzero(top > best)
+        best[at] = top[at]
+        begun = run[left[at]]
+        out[left[at]] = np.stack((begun + i + 1, begun + row[:, at].argmax(axis=0), begun + best[at] % unit), axis=1)
+        if i % 4 == 3:
+            keep = np.flatnonzero(top + (nx - i - 1) * (unit + 1) > best)
+            left, best, nx, na = left[keep], best[keep], nx[keep], na[keep]
+            x, a, row, is_word = x[:, keep], a[:, keep], row[:, keep], is_word[:, keep]
+        if not len(left):
+            break
+    return out
 
 
-def align(x: np.ndarray, a: np.ndarray, xs: list[int], ys: list[int]) -> list[tuple[int, int, int, int]]:
-    """(start, end in x, span in a, equal words) of the aligned parts of a chain.
+def _stretches(x: np.ndarray, a: np.ndarray, xs: list[int], ys: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(start and end in x, start and end in a, equal words) from first to last match of each part of a chain.
 
     ``ys`` are places in ``a``. A gap over ``MAX_GAP`` words parts the chain.
     """
-    out, first, equal = [], 0, 0
-
-    def close(last: int, equal: int) -> None:
-        x0, y0, x1, y1 = xs[first], ys[first], xs[last] + RUN, ys[last] + RUN
-        left, left_a, more = _reach(x[max(0, x0 - FLANK) : x0][::-1], a[max(0, y0 - FLANK) : y0][::-1])
-        right, right_a, after = _reach(x[x1 : x1 + FLANK], a[y1 : y1 + FLANK])
-        out.append((x0 - left, x1 + right, y1 - y0 + left_a + right_a, equal + RUN + more + after))
-
+    first, equal = 0, RUN
     for i in range(1, len(xs)):
         dx, dy = xs[i] - xs[i - 1], ys[i] - ys[i - 1]
         if max(dx, dy) > MAX_GAP:
-            close(i - 1, equal)
-            first, equal = i, 0
+            yield xs[first], xs[i - 1] + RUN, ys[first], ys[i - 1] + RUN, equal
+            first, equal = i, RUN
         else:
             mine, other = x[xs[i - 1] : xs[i]], a[ys[i - 1] : ys[i]]
             equal += dx if dx == dy and (mine == other).all() else _common(mine, other)
-    close(len(xs) - 1, equal)
-    return out
+    yield xs[first], xs[-1] + RUN, ys[first], ys[-1] + RUN, equal
+
+
+def align(chains: list[tuple[np.ndarray, np.ndarray, list[int], list[int]]]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(number of the chain, start, end in x, span in a, equal words) of the aligned parts of chains (x, a, xs, ys)."""
+    parts, mine, other = [], [], []
+    for n, (x, a, xs, ys) in enumerate(chains):
+        for x0, x1, y0, y1, equal in _stretches(x, a, xs, ys):
+            parts.append((n, x0, x1, y1 - y0, equal))
+            mine += [x[max(0, x0 - FLANK) : x0][::-1], x[x1 : x1 + FLANK]]
+            other += [a[max(0, y0 - FLANK) : y0][::-1], a[y1 : y1 + FLANK]]
+    found = _reaches(mine, other).tolist() if parts else []
+    for (n, x0, x1, span, equal), (left, left_a, more), (right, right_a, after) in zip(parts, found[::2], found[1::2]):
+        yield n, x0 - left, x1 + right, span + left_a + right_a, equal + more + after
 
 
 def covered(n: int, parts: Iterable[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
@@ -454,20 +517,29 @@ def covered(n: int, parts: Iterable[tuple[int, int]], min_words: int) -> list[tu
 
 
 def _aligner(similarity: float):
+    def accepted(chains: list[tuple], names: list[tuple]) -> Iterator[tuple]:
+        for n, start, end, span, equal in align(chains):
+            if end - start >= LEAST and equal >= similarity * max(end - start, span):
+                yield names[n][0], start, end, names[n][1]
+
     def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Accepted parts of each row's chains."""
         for batch in batches:
             out: list[tuple] = []
+            chains, names = [], []
             for row, text, hits in zip(*(batch.column(c) for c in ("row", "text", "hits"))):
-                x = hashes(words_of(text.as_py()))
+                x, row = hashes(words_of(text.as_py())), row.as_py()
                 for hit in hits.as_py():
                     if not hit["ys"]:
-                        out.append((row.as_py(), *hit["xs"], hit["other_id"]))
+                        out.append((row, *hit["xs"], hit["other_id"]))
                         continue
                     a = hashes(hit["passage"].split(" "))
-                    for start, end, span, equal in align(x, a, hit["xs"], [y - hit["from"] for y in hit["ys"]]):
-                        if end - start >= LEAST and equal >= similarity * max(end - start, span):
-                            out.append((row.as_py(), start, end, hit["other_id"]))
+                    chains.append((x, a, hit["xs"], [y - hit["from"] for y in hit["ys"]]))
+                    names.append((row, hit["other_id"]))
+                    if len(chains) >= TOGETHER:
+                        out += accepted(chains, names)
+                        chains, names = [], []
+            out += accepted(chains, names)
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
             columns = zip(*out) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
@@ -509,15 +581,14 @@ def _cut(text: str, parts: list[dict], min_words: int):
     return spans, "".join([*keep, text[last:]])
 
 
-def _matches(cells: DataFrame) -> DataFrame:
-    """(seed, row, anchor, x, a) of each shared key's holders."""
-    return cells.repartition("part").sortWithinPartitions("part").mapInArrow(
-        _matcher, "seed long, row long, anchor long, x long, a long"
-    )
+def _matches(cells: DataFrame, parts: int) -> DataFrame:
+    """Matches of each shared key's holders, packed by bucket."""
+    found = cells.repartition("part").sortWithinPartitions("part")
+    return found.mapInArrow(_matcher(max(BUCKETS, parts)), _MATCHED_KIND)
 
 
 def _chains(matches: DataFrame, pairs: bool, min_words: int, similarity: float) -> DataFrame:
-    dealt = matches.repartition("row").sortWithinPartitions("row", "anchor", "x", "a")
+    dealt = matches.repartition("bucket").sortWithinPartitions("bucket")
     return write_and_reread(dealt.mapInArrow(_chainer(pairs, min_words, similarity), _CHAIN), "chains")
 
 
@@ -537,7 +608,8 @@ def _parts(chained: DataFrame, named: DataFrame, similarity: float) -> DataFrame
         _fetch, "row long, xs array<int>, ys array<int>, other_id long, passage string, from int"
     )
     hits = fetched.groupBy("row").agg(F.collect_set(F.struct("xs", "ys", "other_id", "passage", "from")).alias("hits"))
-    return held.select("row", "text").join(hits, "row").mapInArrow(
+    # With the id, which is not read there, both joins take the texts from one exchange.
+    return held.select("row", "id", "text").join(hits, "row").mapInArrow(
         _aligner(similarity), "row long, start int, end int, other_id long"
     )
 
@@ -571,10 +643,11 @@ def repeated_passages(
     chars = named.agg(F.sum(F.length("text"))).first()[0] or 0
     parts, bits = _layout(chars // 5)
     cells = named.select("row", "text").mapInArrow(_seeder(window, parts, bits), _CELL_KIND)
-    chained = _chains(_matches(cells), False, min_words, similarity)
+    chained = _chains(_matches(cells, parts), False, min_words, similarity)
     loose = chained.where("anchor is null").select("row", "xs", "seeds")
-    cells = loose.mapInArrow(_pairer(*_layout(chars)), _CELL_KIND)
-    paired = _chains(_matches(cells), True, min_words, similarity)
+    parts, bits = _layout(chars)
+    cells = loose.mapInArrow(_pairer(parts, bits), _CELL_KIND)
+    paired = _chains(_matches(cells, parts), True, min_words, similarity)
     parts = _parts(chained.where("anchor is not null").union(paired), named, similarity)
     packed = docs.select(row, F.struct(*(F.col(f"`{c}`") for c in own)).alias("all"))
     whole = packed.join(_by_row(parts), "row", "left").select(

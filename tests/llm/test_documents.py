@@ -282,6 +282,33 @@ def test_encoding_is_the_best_path():
         assert sum(u[0] for u in v.units(text)) == best[len(text)]
 
 
+def test_starts_found_together_are_the_best_ones():
+    draw = random.Random(5)
+    pairs = [([draw.randrange(9) for _ in range(draw.randrange(65))], draw.random()) for _ in range(60)]
+    xs = [np.array(x, np.uint64) for x, _ in pairs]
+    others = [np.array([w for w in x for _ in range(1 + (draw.random() < r / 4)) if draw.random() > r / 4][:64], np.uint64) for x, r in pairs]
+    for x, a, found in zip(xs, others, passages._reaches(xs, others).tolist()):
+        score = {(0, 0): (0, 0)}
+        for i in range(len(x) + 1):
+            for j in range(len(a) + 1):
+                if i or j:
+                    same = i and j and x[i - 1] == a[j - 1]
+                    before = [(i - 1, j, 0), (i, j - 1, 0), (i - 1, j - 1, bool(same))]
+                    score[i, j] = max((score[p, q][0] + (1 if s else -2), score[p, q][1] + s) for p, q, s in before if p >= 0 and q >= 0)
+        best = max(s for s, _ in score.values())
+        assert score[found[0], found[1]] == (best, found[2])
+
+
+def test_matches_travel_packed_and_sorted():
+    draw = np.random.default_rng(1)
+    key, place, first = (draw.integers(0, 1 << 40, 500).astype(np.uint64), *(draw.integers(0, 900, 500) for _ in "ab"))
+    row, anchor = (draw.choice(draw.integers(-(1 << 63), 1 << 63, 20), 500) for _ in "ab")
+    got = [list(zip(*c)) for c in passages._by_bucket([passages._matched(512, key, row, anchor, place, first)])]
+    want = Counter(zip(key.tolist(), row.tolist(), anchor.tolist(), place.tolist(), first.tolist()))
+    assert Counter(tuple(map(int, m)) for g in got for m in g) == want
+    assert all(g == sorted(g, key=lambda m: m[1:]) for g in got) and len(got) <= 20
+
+
 def test_units_learnt_together_are_encoded_as_alone():
     v = maxplus.Vocabulary(PIECE_BPE)
     words = [f" {a}{b}" for a in ("inter", "donau", "\u00e9t\u00e9", "x\x00", "\x00", "\u4e2d\U0001f600", "\U0001f600") for b in ("national", "", "q\x00", "\u4e2d", "zzzz1999")]
