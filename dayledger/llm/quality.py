@@ -88,7 +88,7 @@ def _script(text: str) -> str:
 class _Pieces:
     """Token ids of words, kept flat so that a text's tokens are gathered by numpy."""
 
-    def __init__(self, path: str, size: int = 500_000):
+    def __init__(self, path: str, size: int = 150_000):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.n = self.model.get_piece_size()
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.n)])
@@ -160,9 +160,18 @@ _FIELDS = (
 )
 
 
-def _judge(path: str, bands: dict[str, Band]):
+def _with_text(batches: Iterable[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
+    """The text beside the row that holds it, without a copy."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([*batch.columns, batch.column("row").field(place)], [*batch.schema.names, "text"])
+
+
+def _judge(path: str, bands: dict[str, Band], place: int | None = None):
+    """Rows come with their text, or have it at ``place``."""
+
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(path)
+        batches = batches if place is None else _with_text(batches, place)
         for batch, lists in pieces_of_batches(batches, "text"):
             rows = []
             every = zip(batch.column("text"), batch.column("lang"), lists, pieces.numbers(lists))
@@ -204,9 +213,11 @@ def quality(
     """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    flat = docs.select(row.alias("row"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
+    place = docs.columns.index(text_col) if dict(docs.dtypes).get(text_col) == "string" else None
+    text = [] if place is not None else [F.col(text_col).cast("string").alias("text")]
+    flat = docs.select(row.alias("row"), *text, lang.alias("lang"))
     kind = flat.schema["row"].dataType.simpleString()
-    return flat.mapInArrow(_judge(path, bands or BANDS), f"row {kind}, {_FIELDS}")
+    return flat.mapInArrow(_judge(path, bands or BANDS, place), f"row {kind}, {_FIELDS}")
 
 
 def keep_good(docs: DataFrame, path: str, **how) -> DataFrame:

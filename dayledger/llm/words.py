@@ -29,7 +29,7 @@ def words_of(text: str | None) -> list[str]:
 class Memo(dict):
     """Remembers a function's values; starts anew past ``size`` so that memory stays bounded."""
 
-    def __init__(self, function: Callable, size: int = 400_000):
+    def __init__(self, function: Callable, size: int = 100_000):
         super().__init__()
         self.function, self.size = function, size
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from dayledger.llm import licenses, linededup, maxplus, minhash, packing, passages, quality, toxicity
+from dayledger.llm import licenses, linededup, maxplus, minhash, packing, passages, quality, toxicity, words
 from dayledger.llm.queries import ORACLES, PIECE_BPE, QUERIES, WORD_BPE
 
 SMALL = "/root/testdata/sf0.001"
@@ -309,6 +309,16 @@ def test_matches_travel_packed_and_sorted():
     assert all(g == sorted(g, key=lambda m: m[1:]) for g in got) and len(got) <= 20
 
 
+def test_quality_sends_a_text_once_and_remembers_little(spark, odd):
+    judged = quality.quality(odd, PIECE_BPE)
+    sent = judged._jdf.queryExecution().analyzed().children().head().schema().fieldNames()
+    assert list(sent) == ["row", "lang"]
+    assert quality._pieces(PIECE_BPE).size <= 150_000 and words._HASHES.size <= 100_000
+    other = quality.quality(odd.withColumn("text", F.col("text").cast("binary")), PIECE_BPE)
+    both = [Counter(str(r[1:]) for r in df.collect()) for df in (judged, other)]
+    assert both[0] == both[1]
+
+
 def test_units_learnt_together_are_encoded_as_alone():
     v = maxplus.Vocabulary(PIECE_BPE)
     words = [f" {a}{b}" for a in ("inter", "donau", "\u00e9t\u00e9", "x\x00", "\x00", "\u4e2d\U0001f600", "\U0001f600") for b in ("national", "", "q\x00", "\u4e2d", "zzzz1999")]
