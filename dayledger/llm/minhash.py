@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.graph import components
 from dayledger.llm.words import GOLDEN, hashes, mix, pieces_of_batches, shingles, words_of
-from dayledger.session import write_and_reread
+from dayledger.session import bound_batches, write_and_reread
 
 BANDS, ROWS, SIMILARITY, RUN = 36, 6, 0.8, 5
 #: Bands' worth of places in a signature, over those that are buckets.
@@ -280,6 +280,7 @@ def _classes(docs, id_col, text_col, bands, rows, similarity, run) -> tuple[Data
     """Distinct texts (n, k, id, places, total), and (k, class_id) of those linked with another text."""
     if rows > 6:
         raise ValueError("a band has six places at most")
+    bound_batches(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     slots = int(MORE * bands) * rows
     signed = texts.select(_key(F.col("text")).alias("k"), "id", "text").mapInArrow(

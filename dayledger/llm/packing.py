@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from dayledger.llm.words import pieces_of_batches
-from dayledger.session import write_and_reread
+from dayledger.session import bound_batches, write_and_reread
 
 CAPACITY, END_ID, SALTS = 4096, 1, 64
 #: Parted like white space by ``str.split`` but not by the vocabulary.
@@ -100,6 +100,7 @@ def _cutter(path: str, capacity: int, end_id: int):
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of each document with lengths and checksums; a null text is an empty one."""
+    bound_batches(docs.sparkSession)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
         _cutter(path, capacity, end_id),
         docs.select("doc_id").schema.add("piece", "long").add("start", "long").add("length", "long").add(

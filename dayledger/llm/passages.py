@@ -27,12 +27,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayledger.llm.words import _WORD, GOLDEN, hashes, mix, pieces_of_batches, shingles, words_of
-from dayledger.session import broadcast_if_small, write_and_reread
+from dayledger.llm.words import _WORD, GOLDEN, Words, mix, shingles, slices
+from dayledger.session import bound_batches, broadcast_if_small, write_and_reread
 
 RUN, WINDOW, MIN_WORDS, SIMILARITY = 5, 1, 50, 0.8
 MAX_GAP, FLANK, LEAST = 64, 64, 15
@@ -44,8 +45,8 @@ REACH = 4
 GROUP, PART = 1 << 21, 1 << 22
 #: Buckets of matches at least, by row; a power of two.
 BUCKETS = 512
-#: Chains whose ends are aligned together.
-TOGETHER = 256
+#: Chains that are aligned together, and chains of one anchor that its text is handed on with.
+TOGETHER, CHUNK = 512, 500
 
 
 def seed_places(s: np.ndarray, window: int) -> np.ndarray:
@@ -78,13 +79,14 @@ def _unpack(data: bytes) -> np.ndarray:
 
 def _pack_steps(values: np.ndarray) -> bytes:
     """Whole numbers as steps from one to the next, the sign in the last bit."""
-    steps = np.diff(values.astype(np.int64), prepend=0)
-    return _pack(np.where(steps < 0, -2 * steps - 1, 2 * steps))
+    steps = values.astype(np.int64)
+    steps[1:] -= values[:-1]
+    return _pack((steps << 1) ^ (steps >> 63))
 
 
 def _unpack_steps(data: bytes) -> np.ndarray:
-    steps = _unpack(data).astype(np.int64)
-    return np.cumsum(np.where(steps & 1, -(steps + 1) // 2, steps // 2))
+    steps = _unpack(data).view(np.int64)
+    return np.cumsum((steps >> 1) ^ -(steps & 1))
 
 
 _CELL = pa.schema(
@@ -94,6 +96,17 @@ _CELL = pa.schema(
 _CELL_KIND = "part long, local boolean, rows binary, keys binary, docs binary, places binary, anchors binary, firsts binary"
 
 
+def _sorted(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of ``bits`` bits in order, and their places before, the least first."""
+    free = np.uint64(64 - bits)
+    if len(key) >> int(free):
+        order = key.argsort(kind="stable")
+        return key[order], order
+    both = (key << free) | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    return both >> free, (both & ((np.uint64(1) << free) - np.uint64(1))).astype(np.int32)
+
+
 def _cells(held: list[tuple], parts: int, bits: int) -> pa.RecordBatch:
     """Cells of a group of (row, keys, places): the first place of each key by part, and repeats with their firsts.
 
@@ -105,8 +118,8 @@ def _cells(held: list[tuple], parts: int, bits: int) -> pa.RecordBatch:
     key = np.concatenate([h[1] for h in held]) >> np.uint64(64 - bits)
     place = np.concatenate([h[2] for h in held])
     held.clear()
-    order = key.argsort(kind="stable")
-    key, doc, place = key[order], doc[order], place[order]
+    key, order = _sorted(key, bits)
+    doc, place = doc[order], place[order]
     del order
     new = np.concatenate(([True], key[1:] != key[:-1]))
     head = np.flatnonzero(new)
@@ -145,13 +158,31 @@ def _grouped(found: Iterable[tuple], parts: int, bits: int) -> Iterator[pa.Recor
         yield _cells(held, parts, bits)
 
 
+def _seeds(words: Words, window: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Seeds of each text and their places. Texts of fewer than ``RUN`` words have none: one seed is no chain."""
+    n, ends = max(0, len(words.hashes) - RUN + 1), words.ends
+    s = shingles(words.hashes, RUN) if n else np.zeros(0, np.uint64)
+    last = np.maximum(ends[:-1], ends[1:] - RUN + 1)
+    if window > 1:
+        for i, j in zip(ends[:-1].tolist(), last.tolist()):
+            at = seed_places(s[i:j], window)
+            yield s[i:j][at], at.astype(np.int32)
+        return
+    doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    keep = doc[:n] == doc[len(doc) - n :]
+    keep[1:] &= (s[1:] != s[:-1]) | (doc[1:n] != doc[: max(0, n - 1)])  # one of a run of equal ones
+    at = np.flatnonzero(keep)
+    place = (at - ends[doc[at]]).astype(np.int32)
+    cuts = np.searchsorted(at, ends)
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield s[at[i:j]], place[i:j]
+
+
 def _seeder(window: int, parts: int, bits: int):
     def found(batches):
-        for batch, lists in pieces_of_batches(batches, "text"):
-            for row, words in zip(batch.column("row").to_pylist(), lists):
-                s = shingles(hashes(words), RUN)
-                at = seed_places(s, window)
-                yield row, s[at], at.astype(np.int32)
+        for batch in slices(batches, "text"):
+            for row, (keys, places) in zip(batch.column("row").to_pylist(), _seeds(Words(batch.column("text")), window)):
+                yield row, keys, places
 
     return lambda batches: _grouped(found(batches), parts, bits)
 
@@ -188,36 +219,53 @@ def _pairer(parts: int, bits: int):
 def _matcher(buckets: int):
     """Cells come sorted by part. All holders of a key that has several, each with the first; a first with itself."""
 
-    def closed(held: list[tuple]) -> pa.RecordBatch:
-        key, row, place = (np.concatenate(c) for c in zip(*held))
+    def closed(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """Some keys at a time, as cells have theirs in order."""
+        n = sum(len(c[0]) for c in held)
+        low, high = min(int(c[0][0]) for c in held), max(int(c[0][-1]) for c in held)
+        steps = max(1, n >> 18)
+        bounds = np.array([low + (high + 1 - low) * k // steps for k in range(1, steps)], np.uint64)
+        cuts = [[0, *np.searchsorted(c[0], bounds).tolist(), len(c[0])] for c in held]
+        found, n = [], 0
+        for k in range(steps):
+            part = [(key[i[k] : i[k + 1]], rows[docs[i[k] : i[k + 1]]], place[i[k] : i[k + 1]]) for (key, rows, docs, place), i in zip(held, cuts)]
+            found.append(shared(*(np.concatenate(c) for c in zip(*part))))
+            n += len(found[-1][0])
+            if n >= 1 << 20 or k + 1 == steps:
+                yield _matched(buckets, *(np.concatenate(c) for c in zip(*found)))
+                found, n = [], 0
         held.clear()
-        order = key.argsort(kind="stable")
+
+    def shared(key: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple:
+        """All holders of a key that has several, each with the first."""
+        order = key.argsort()
         key = key[order]
         same = np.concatenate(([False], key[1:] == key[:-1], [False]))
-        shared = same[1:] | same[:-1]
-        order, key = order[shared], key[shared]
+        several = (same[1:] | same[:-1])[: len(key)]
+        order, key = order[several], key[several]
         row, place = row[order], place[order]
         order = np.lexsort((place, row, key))
         key, row, place = key[order], row[order], place[order]
         head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
         first = np.repeat(head, np.diff(np.append(head, len(key))))
-        return _matched(buckets, key, row, row[first], place, place[first])
+        return key, row, row[first], place.astype(np.int64), place[first].astype(np.int64)
 
     def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
         for batch in batches:
             for cell in batch.to_pylist():
                 if held and cell["part"] != now:
-                    yield closed(held)
+                    yield from closed(held)
                 now, rows = cell["part"], np.frombuffer(cell["rows"], np.int64)
                 keys = _unpack(cell["keys"])
                 if cell["local"]:
                     docs, places, anchors, firsts = (_unpack_steps(cell[c]) for c in ("docs", "places", "anchors", "firsts"))
                     yield _matched(buckets, keys, rows[docs], rows[anchors], places, firsts)
                 else:
-                    held.append((np.cumsum(keys, dtype=np.uint64), rows[_unpack(cell["docs"])], _unpack(cell["places"])))
+                    docs, places = _unpack(cell["docs"]).astype(np.int32), _unpack(cell["places"])
+                    held.append((np.cumsum(keys, dtype=np.uint64), rows, docs, places if places.max() >> np.uint64(31) else places.astype(np.int32)))
         if held:
-            yield closed(held)
+            yield from closed(held)
 
     return match
 
@@ -303,16 +351,24 @@ def chains(x: list[int], a: list[int], max_gap: int = MAX_GAP) -> list[list[int]
     return out
 
 
-def thinned(x: np.ndarray, a: np.ndarray, every: int = RUN) -> tuple[list[int], list[int]]:
-    """Matches without most of the inner ones of a diagonal: all words between those left are equal."""
-    if len(x) <= every:
-        return x.tolist(), a.tolist()
-    order = np.lexsort((x, a - x))
-    dx, da = np.diff(x[order]), np.diff(a[order])
-    joined = np.concatenate(([False], (dx == 1) & (da == 1), [False]))
-    keep = ~(joined[:-1] & joined[1:]) | (x[order] % every == 0)
-    left = np.sort(order[keep])
-    return x[left].tolist(), a[left].tolist()
+def thinned(group: np.ndarray, x: np.ndarray, a: np.ndarray, every: int = RUN) -> np.ndarray:
+    """Which matches to keep: without most of the inner ones of a diagonal, all words between those left are equal.
+
+    Groups of up to ``every`` matches keep all. ``group`` is ascending.
+    """
+    order = np.lexsort((x, a - x, group))
+    g, x, a = group[order], x[order], a[order]
+    joined = np.concatenate(([False], (g[1:] == g[:-1]) & (np.diff(x) == 1) & (np.diff(a) == 1), [False]))[: len(x) + 1]
+    keep = np.zeros(len(x), bool)
+    keep[order] = ~(joined[:-1] & joined[1:]) | (x % every == 0) | (np.bincount(g)[g] <= every)
+    return keep
+
+
+def plain(group: np.ndarray, x: np.ndarray, a: np.ndarray, max_gap: int = MAX_GAP) -> np.ndarray:
+    """Per group, are its matches one chain? Both places rise, and no gap costs what a match is worth."""
+    dx, da = np.diff(x), np.diff(a)
+    bad = (group[1:] == group[:-1]) & ((dx <= 0) | (da <= 0) | (dx + da >= 2 * max_gap))
+    return np.bincount(group[1:], bad, int(group[-1]) + 1 if len(group) else 0) == 0
 
 
 def pieces(x: list[int], a: list[int], min_words: int, similarity: float) -> Iterator[tuple[int, int, bool]]:
@@ -338,47 +394,69 @@ def _chainer(pairs: bool, min_words: int, similarity: float):
     no more of them than seeds or pairs in the rows' texts.
     """
 
-    def of_row(row: int, seed, anchor, x, a, out: list[tuple]) -> None:
-        edges = np.flatnonzero(np.diff(anchor)) + 1
+    def of_bucket(seed, row, anchor, x, a) -> Iterator[tuple]:
+        # Groups are a row's matches with one anchor; matches of a place with itself chain nothing.
+        new = np.concatenate(([True], (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1])))
+        again = np.concatenate(([False], ~new[1:] & (x[1:] == x[:-1]) & (a[1:] == a[:-1])))  # rows given twice
+        other = np.flatnonzero(((anchor != row) | (x != a)) & ~again)
+        group = (np.cumsum(new) - 1)[other]
+        names, x1, a1 = (row[new], anchor[new]), x[other], a[other]
+        if pairs:
+            x1, a1 = np.concatenate((x1 >> 6, (x1 >> 6) + (x1 & 63))), np.concatenate((a1 >> 6, (a1 >> 6) + (a1 & 63)))
+            group = np.concatenate((group, group))
+            order = np.lexsort((a1, x1, group))
+            group, x1, a1 = group[order], x1[order], a1[order]
+            fresh = np.concatenate(([True], (group[1:] != group[:-1]) | (x1[1:] != x1[:-1]) | (a1[1:] != a1[:-1])))[: len(group)]
+            group, x1, a1 = group[fresh], x1[fresh], a1[fresh]
+        keep = thinned(group, x1, a1)
+        group, x1, a1 = group[keep], x1[keep], a1[keep]
+        whole = plain(group, x1, a1)
+        edges = np.flatnonzero(np.diff(group, prepend=-1)).tolist() + [len(group)]
         sure = []
-        for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(anchor)]):
-            mine, other = x[i:j], a[i:j]
-            if anchor[i] == row:
-                mine, other = mine[mine != other], other[mine != other]
-            if pairs and len(mine):
-                both = np.stack((np.concatenate((mine >> 6, (mine >> 6) + (mine & 63))), np.concatenate((other >> 6, (other >> 6) + (other & 63)))))
-                mine, other = np.unique(both, axis=1)
-            if len(mine) < 2:
+        group, x1, a1 = group.tolist(), x1.tolist(), a1.tolist()
+        rows, anchors = (c.tolist() for c in names)
+        for i, j in zip(edges[:-1], edges[1:]):
+            if j - i < 2:
                 continue
-            xs, ys = thinned(mine, other)
-            for found in chains(xs, ys):
-                cx, ca = [xs[k] for k in found], [ys[k] for k in found]
+            g, xs, ys = group[i], x1[i:j], a1[i:j]
+            for found in [None] if whole[g] else chains(xs, ys):
+                cx, ca = (xs, ys) if found is None else ([xs[k] for k in found], [ys[k] for k in found])
                 for f, e, proved in pieces(cx, ca, min_words, similarity):
                     if not proved:
-                        out.append((row, int(anchor[i]), ca[f], ca[e], cx[f : e + 1], ca[f : e + 1], None))
+                        yield rows[g], anchors[g], ca[f], ca[e], cx[f : e + 1], ca[f : e + 1], None
                         continue
-                    sure.append((cx[f], cx[e] + RUN))
-                    out.append((row, int(anchor[i]), 0, 0, [*sure[-1]], [], None))
-                    out += [(row, int(anchor[i]), ca[k], ca[k], [cx[k]], [ca[k]], None) for k in (f, e)]
-        if pairs:
-            return
-        x, at = np.unique(x, return_index=True)
-        inside = np.zeros(len(x) + 1, np.int64)
-        for s, e in sure:
-            inside[np.searchsorted(x, s)] += 1
-            inside[np.searchsorted(x, e - RUN, "right")] -= 1
+                    sure.append((rows[g], cx[f], cx[e] + RUN))
+                    yield rows[g], anchors[g], 0, 0, [cx[f], cx[e] + RUN], [], None
+                    for k in (f, e):
+                        yield rows[g], anchors[g], ca[k], ca[k], [cx[k]], [ca[k]], None
+        if not pairs:
+            yield from loose(seed, row, x, sure)
+
+    def loose(seed, row, x, sure: list[tuple]) -> Iterator[tuple]:
+        """Rows with the shared seeds that no proved stretch covers, if some are as far apart as a pair."""
+        names, at = np.unique(row, return_inverse=True)
+        key = (at << 32) + x
+        order = key.argsort(kind="stable")
+        order = order[np.concatenate(([True], np.diff(key[order]) > 0))]
+        key = key[order]
+        inside = np.zeros(len(key) + 1, np.int64)
+        if sure:
+            of, start, end = np.array(sure, np.int64).T
+            of = np.searchsorted(names, of) << 32
+            np.add.at(inside, np.searchsorted(key, of + start), 1)
+            np.add.at(inside, np.searchsorted(key, of + end - RUN, "right"), -1)
         free = np.cumsum(inside[:-1]) <= 0
-        x, at = x[free], at[free]
-        if len(x) and (np.searchsorted(x, x + FAR, "right") > np.searchsorted(x, x + NEAR)).any():
-            out.append((row, None, None, None, x, None, seed[at]))
+        key, seed = key[free], seed[order[free]]
+        paired = np.searchsorted(key, key + FAR, "right") > np.searchsorted(key, key + NEAR)
+        x, at = key & 0xFFFFFFFF, key >> 32
+        cuts = np.searchsorted(at, np.arange(len(names) + 1)).tolist()
+        wanted = np.bincount(at, paired, len(names)) > 0
+        for k in np.flatnonzero(wanted).tolist():
+            yield int(names[k]), None, None, None, x[cuts[k] : cuts[k + 1]], None, seed[cuts[k] : cuts[k + 1]]
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for seed, row, anchor, x, a in _by_bucket(batches):
-            out: list[tuple] = []
-            edges = np.flatnonzero(np.diff(row, prepend=row[0] ^ 1)).tolist() + [len(row)]
-            for i, j in zip(edges[:-1], edges[1:]):
-                of_row(int(row[i]), seed[i:j], anchor[i:j], x[i:j], a[i:j], out)
-            yield _chain_rows(out)
+        for bucket in _by_bucket(batches):
+            yield _chain_rows(list(of_bucket(*bucket)))
 
     return chain
 
@@ -395,35 +473,39 @@ def _chain_rows(out: list[tuple]) -> pa.RecordBatch:
 
 
 def _fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The anchor's words around each chain, from ``from`` on."""
-    last, words = None, []
-    for batch in batches:
-        passages, starts = [], []
-        for anchor, low, high, text, ys in zip(*(batch.column(c) for c in ("anchor", "low", "high", "text", "ys"))):
-            if not len(ys):  # proved, needs no words
-                passages.append("")
-                starts.append(0)
-                continue
-            if anchor.as_py() != last:
-                last, words = anchor.as_py(), words_of(text.as_py())
-            start = max(0, low.as_py() - FLANK)
-            passages.append(" ".join(words[start : high.as_py() + RUN + FLANK]))
-            starts.append(start)
-        names = ["row", "xs", "ys", "other_id"]
+    """The anchor's words around each of its chains, from ``from`` on."""
+    for batch in slices(batches, "text"):
+        words, chains = Words(batch.column("text")), batch.column("chains")
+        of = pa.compute.list_parent_indices(chains).to_numpy()
+        row, low, high, xs, ys = chains.flatten().flatten()
+        begin, end = words.ends[of], words.ends[of + 1]
+        sure = pa.compute.list_value_length(ys).to_numpy() == 0  # proved, needs no words
+        start = np.where(sure, 0, np.maximum(0, low.to_numpy() - FLANK))
+        stop = np.where(sure, begin, np.minimum(end, begin + high.to_numpy() + RUN + FLANK))
+        data, passages = words.data.tobytes(), []
+        for i, j in zip((begin + start).tolist(), stop.tolist()):
+            passages.append(data[words.first[i] : words.last[j - 1]] if i < j else b"")
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in names), pa.array(passages, pa.string()), pa.array(starts, pa.int32())],
-            [*names, "passage", "from"],
+            [row, xs, ys, batch.column("other_id").take(pa.array(of)), pa.array(passages, pa.binary()).cast(pa.string()), pa.array(start, pa.int32())],
+            ["row", "xs", "ys", "other_id", "passage", "from"],
         )
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence of two short runs."""
+    same = 0
+    for _ in "ab":  # what both begin or end with is in it
+        n = min(len(a), len(b))
+        run = int(np.append(a[:n] != b[:n], True).argmax())
+        a, b, same = a[run:][::-1], b[run:][::-1], same + run
+    if not len(a) or not len(b):
+        return same
     before = np.zeros(len(b) + 1, np.int64)
     for v in a:
         now = before.copy()
         now[1:] = np.maximum(before[1:], before[:-1] + (b == v))
         before = np.maximum.accumulate(now)
-    return int(before[-1])
+    return same + int(before[-1])
 
 
 def _flanks(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -436,11 +518,14 @@ def _flanks(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _reaches(xs: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    return _reached(*_flanks(xs), *_flanks(others))
+
+
+def _reached(x: np.ndarray, nx: np.ndarray, a: np.ndarray, na: np.ndarray) -> np.ndarray:
     """(words of x, words of a, equal words) of the best start of each pair of runs: 1 an equal word, -2 an edit.
 
     All pairs go through the table row by row together; a pair is left out once no row below can be better.
     """
-    (x, nx), (a, na) = _flanks(xs), _flanks(others)
     n = np.minimum(nx, na)
     most = int(n.max(initial=0))
     differ = np.concatenate((x[:most] != a[:most], np.ones((1, len(n)), bool)))
@@ -475,34 +560,39 @@ def _reaches(xs: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _stretches(x: np.ndarray, a: np.ndarray, xs: list[int], ys: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
-    """(start and end in x, start and end in a, equal words) from first to last match of each part of a chain.
+def _beside(h: np.ndarray, at: np.ndarray, bound: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words from ``at`` on to ``bound``, ``FLANK`` at most, as columns of a table, and their number; ``step`` -1 goes back."""
+    size = np.minimum(FLANK, (bound - at) * step)
+    k = np.arange(int(size.max(initial=0)))[:, None]
+    place = at - (step < 0) + step * k
+    return np.where(k < size, h[np.clip(place, 0, len(h) - 1)], np.uint64(0)), size
 
-    ``ys`` are places in ``a``. A gap over ``MAX_GAP`` words parts the chain.
-    """
-    first, equal = 0, RUN
-    for i in range(1, len(xs)):
-        dx, dy = xs[i] - xs[i - 1], ys[i] - ys[i - 1]
-        if max(dx, dy) > MAX_GAP:
-            yield xs[first], xs[i - 1] + RUN, ys[first], ys[i - 1] + RUN, equal
-            first, equal = i, RUN
-        else:
-            mine, other = x[xs[i - 1] : xs[i]], a[ys[i - 1] : ys[i]]
-            equal += dx if dx == dy and (mine == other).all() else _common(mine, other)
-    yield xs[first], xs[-1] + RUN, ys[first], ys[-1] + RUN, equal
 
+def align(x: np.ndarray, a: np.ndarray, chain: np.ndarray, xs: np.ndarray, ys: np.ndarray, mine: np.ndarray, other: np.ndarray):
+    """(chain, start and end in x, span in a, equal words) of the aligned parts of chains, as arrays.
 
-def align(chains: list[tuple[np.ndarray, np.ndarray, list[int], list[int]]]) -> Iterator[tuple[int, int, int, int, int]]:
-    """(number of the chain, start, end in x, span in a, equal words) of the aligned parts of chains (x, a, xs, ys)."""
-    parts, mine, other = [], [], []
-    for n, (x, a, xs, ys) in enumerate(chains):
-        for x0, x1, y0, y1, equal in _stretches(x, a, xs, ys):
-            parts.append((n, x0, x1, y1 - y0, equal))
-            mine += [x[max(0, x0 - FLANK) : x0][::-1], x[x1 : x1 + FLANK]]
-            other += [a[max(0, y0 - FLANK) : y0][::-1], a[y1 : y1 + FLANK]]
-    found = _reaches(mine, other).tolist() if parts else []
-    for (n, x0, x1, span, equal), (left, left_a, more), (right, right_a, after) in zip(parts, found[::2], found[1::2]):
-        yield n, x0 - left, x1 + right, span + left_a + right_a, equal + more + after
+    ``xs`` and ``ys`` are places in ``x`` and ``a``, the words of many texts, and ``chain`` the number of each one's
+    chain; ``mine`` and ``other`` are each chain's bounds in x and a. A gap over ``MAX_GAP`` words parts a chain.
+    """
+    dx, dy = np.diff(xs), np.diff(ys)
+    inner = (chain[1:] == chain[:-1]) & (np.maximum(dx, dy) <= MAX_GAP)
+    step = np.flatnonzero(inner)
+    even = step[dx[step] == dy[step]]
+    k = np.arange(dx[even].sum()) - np.repeat(np.cumsum(dx[even]) - dx[even], dx[even])
+    alike = x[np.repeat(xs[even], dx[even]) + k] == a[np.repeat(ys[even], dx[even]) + k]
+    equal = np.zeros(len(xs), np.int64)
+    equal[even + 1] = np.bincount(np.repeat(np.arange(len(even)), dx[even]), alike, len(even)).astype(np.int64)
+    whole = np.zeros(len(xs), bool)
+    whole[even + 1] = equal[even + 1] == dx[even]
+    for i in (step + 1)[~whole[step + 1]].tolist():
+        equal[i] = _common(x[xs[i - 1] : xs[i]], a[ys[i - 1] : ys[i]])
+    head = np.flatnonzero(np.concatenate(([True], ~inner)))
+    tail = np.append(head[1:], len(xs)) - 1
+    equal = RUN + np.add.reduceat(equal, head)
+    n, x0, x1, y0, y1 = chain[head], xs[head], xs[tail] + RUN, ys[head], ys[tail] + RUN
+    left = _reached(*_beside(x, x0, mine[n, 0], -1), *_beside(a, y0, other[n, 0], -1))
+    right = _reached(*_beside(x, x1, mine[n, 1], 1), *_beside(a, y1, other[n, 1], 1))
+    return n, x0 - left[:, 0], x1 + right[:, 0], y1 - y0 + left[:, 1] + right[:, 1], equal + left[:, 2] + right[:, 2]
 
 
 def covered(n: int, parts: Iterable[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
@@ -517,52 +607,59 @@ def covered(n: int, parts: Iterable[tuple[int, int]], min_words: int) -> list[tu
 
 
 def _aligner(similarity: float):
-    def accepted(chains: list[tuple], names: list[tuple]) -> Iterator[tuple]:
-        for n, start, end, span, equal in align(chains):
-            if end - start >= LEAST and equal >= similarity * max(end - start, span):
-                yield names[n][0], start, end, names[n][1]
-
     def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Accepted parts of each row's chains."""
-        for batch in batches:
-            out: list[tuple] = []
-            chains, names = [], []
-            for row, text, hits in zip(*(batch.column(c) for c in ("row", "text", "hits"))):
-                x, row = hashes(words_of(text.as_py())), row.as_py()
-                for hit in hits.as_py():
-                    if not hit["ys"]:
-                        out.append((row, *hit["xs"], hit["other_id"]))
-                        continue
-                    a = hashes(hit["passage"].split(" "))
-                    chains.append((x, a, hit["xs"], [y - hit["from"] for y in hit["ys"]]))
-                    names.append((row, hit["other_id"]))
-                    if len(chains) >= TOGETHER:
-                        out += accepted(chains, names)
-                        chains, names = [], []
-            out += accepted(chains, names)
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-            columns = zip(*out) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["row", "start", "end", "other_id"]
-            )
+        """Accepted parts of each row's chains, in one row."""
+        for batch in slices(batches, "text"):
+            x, hits = Words(batch.column("text")), batch.column("hits")
+            of = pa.compute.list_parent_indices(hits).to_numpy()
+            xs, ys, ids, passages, start = hits.flatten().flatten()
+            sure = np.flatnonzero(pa.compute.list_value_length(ys).to_numpy() == 0)
+            left = np.flatnonzero(pa.compute.list_value_length(ys).to_numpy() > 0)
+            found = [np.column_stack((sure, xs.take(pa.array(sure)).flatten().to_numpy().reshape(-1, 2)))]
+            for i in range(0, len(left), TOGETHER):
+                now = left[i : i + TOGETHER]
+                took = pa.array(now)
+                a, doc = Words(passages.take(took)), of[now]
+                chain = pa.compute.list_parent_indices(ys.take(took)).to_numpy()
+                mine = np.stack((x.ends[doc], x.ends[doc + 1]), axis=1)
+                other = np.stack((a.ends[:-1], a.ends[1:]), axis=1)
+                px = xs.take(took).flatten().to_numpy() + mine[chain, 0]
+                py = ys.take(took).flatten().to_numpy() + (other[:, 0] - start.take(took).to_numpy())[chain]
+                n, begin, end, span, equal = align(x.hashes, a.hashes, chain, px, py, mine, other)
+                good = (end - begin >= LEAST) & (equal >= similarity * np.maximum(end - begin, span))
+                n, begin, end = n[good], begin[good], end[good]
+                found.append(np.column_stack((now[n], begin - mine[n, 0], end - mine[n, 0])))
+            hit, begin, end = np.concatenate(found).astype(np.int64).T
+            order = of[hit].argsort(kind="stable")
+            hit, begin, end = hit[order], begin[order], end[order]
+            rows, first = np.unique(of[hit], return_index=True)
+            columns = [pa.array(begin, pa.int32()), pa.array(end, pa.int32()), ids.take(pa.array(hit))]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(hit)), pa.int32()), pa.StructArray.from_arrays(columns, ["start", "end", "other_id"]))
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(rows)), lists], ["row", "parts"])
 
     return parts
 
 
 def _cleaner(min_words: int):
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, found = [], []
-            for text, parts in zip(batch.column("text"), batch.column("parts")):
-                text = text.as_py()
-                spans, keep = [], text
-                if parts.is_valid and text:
-                    spans, keep = _cut(text, parts.as_py(), min_words)
-                texts.append(keep)
-                found.append(spans)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("all"), pa.array(texts, pa.string()), pa.array(found, _FOUND)], ["all", "clean", "passages"]
-            )
+        for batch in slices(batches, "text"):
+            texts, parts = batch.column("text"), batch.column("parts")
+            held = pa.compute.fill_null(pa.compute.list_value_length(parts), 0).to_numpy() > 0
+            words, parts = Words(texts.filter(pa.array(held))), parts.filter(pa.array(held))
+            start, end, other = parts.flatten().flatten()
+            start, end, other = start.to_pylist(), end.to_pylist(), other.to_pylist()
+            cuts = np.concatenate(([0], np.cumsum(pa.compute.list_value_length(parts).to_numpy()))).tolist()
+            found: list[list] = [[]] * len(texts)
+            changed, kept = np.zeros(len(texts), bool), []
+            for k, n in enumerate(np.flatnonzero(held).tolist()):
+                i, j = cuts[k], cuts[k + 1]
+                spans, keep = _cut(words, k, start[i:j], end[i:j], other[i:j], min_words)
+                if spans:
+                    found[n], changed[n] = spans, True
+                    kept.append(keep)
+            if kept:
+                texts = pa.compute.replace_with_mask(texts, pa.array(changed), pa.array(kept, pa.binary()).cast(texts.type))
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), texts, pa.array(found, _FOUND)], ["rest", "clean", "passages"])
 
     return clean
 
@@ -570,15 +667,18 @@ def _cleaner(min_words: int):
 _FOUND = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("same_as", pa.list_(pa.int64()))]))
 
 
-def _cut(text: str, parts: list[dict], min_words: int):
-    places = [m.span() for m in _WORD.finditer(text)]
-    spans, keep, last = [], [], 0
-    for s, e in covered(len(places), [(p["start"], p["end"]) for p in parts], min_words):
-        others = sorted({p["other_id"] for p in parts if p["start"] < e and p["end"] > s and p["other_id"] is not None})
-        spans.append({"start": places[s][0], "end": places[e - 1][1], "same_as": others})
-        keep.append(text[last : places[s][0]])
-        last = places[e][0] if e < len(places) else len(text)
-    return spans, "".join([*keep, text[last:]])
+def _cut(words: Words, k: int, starts: list[int], ends: list[int], others: list, min_words: int) -> tuple[list[dict], bytes]:
+    """What goes from text ``k``, and what stays."""
+    first, last = words.first[words.ends[k] : words.ends[k + 1]], words.last[words.ends[k] : words.ends[k + 1]]
+    text, stop = int(words.at[k]), int(words.at[k + 1])
+    data, spans, keep, now = words.data, [], [], text
+    for s, e in covered(len(first), zip(starts, ends), min_words):
+        same = {o for x, y, o in zip(starts, ends, others) if x < e and y > s and o is not None}
+        begin, end = (int(b) - text - int(np.count_nonzero((data[text:b] & 0xC0) == 0x80)) for b in (first[s], last[e - 1]))
+        spans.append({"start": begin, "end": end, "same_as": sorted(same)})
+        keep.append(data[now : first[s]].tobytes())
+        now = int(first[e]) if e < len(first) else stop
+    return spans, b"".join([*keep, data[now:stop].tobytes()])
 
 
 def _matches(cells: DataFrame, parts: int) -> DataFrame:
@@ -599,25 +699,25 @@ def _layout(n: int) -> tuple[int, int]:
 
 
 def _parts(chained: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
-    """Accepted parts (row, start, end, other_id) of chains."""
+    """Accepted parts (start, end, other_id) of chains, a list for each row that has some."""
     chained = chained.select("row", "anchor", "low", "high", "xs", "ys")
     wanted = chained.select("row").union(chained.select("anchor")).distinct()
     held = named.join(broadcast_if_small(wanted), "row", "left_semi").dropDuplicates(["row"])
     holders = held.select(F.col("row").alias("anchor"), F.col("id").alias("other_id"), "text")
-    fetched = chained.join(holders, "anchor").mapInArrow(
+    # An anchor's text is handed on once for so many chains, not with each, and no group grows with the table.
+    place = F.row_number().over(Window.partitionBy("anchor").orderBy("row"))
+    chunks = chained.withColumn("chunk", F.floor(place / CHUNK)).groupBy("anchor", "chunk")
+    chunks = chunks.agg(F.collect_list(F.struct("row", "low", "high", "xs", "ys")).alias("chains"))
+    fetched = chunks.join(holders, "anchor").mapInArrow(
         _fetch, "row long, xs array<int>, ys array<int>, other_id long, passage string, from int"
     )
-    hits = fetched.groupBy("row").agg(F.collect_set(F.struct("xs", "ys", "other_id", "passage", "from")).alias("hits"))
+    hits = fetched.groupBy("row").agg(F.collect_list(F.struct("xs", "ys", "other_id", "passage", "from")).alias("hits"))
     # With the id, which is not read there, both joins take the texts from one exchange.
     return held.select("row", "id", "text").join(hits, "row").mapInArrow(
-        _aligner(similarity), "row long, start int, end int, other_id long"
+        _aligner(similarity), "row long, parts array<struct<start:int,end:int,other_id:bigint>>"
     )
 
 
-def _by_row(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("row").agg(F.collect_set(F.struct("start", "end", "other_id")).alias("parts"))
-
-
 def repeated_passages(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -636,6 +736,7 @@ def repeated_passages(
     column ``n_chars`` is brought up to date if there is one; others pass through, but a
     column ``passages`` is replaced. No rows give no rows.
     """
+    bound_batches(docs.sparkSession)
     own = [c for c in docs.columns if c != "passages"]
     text = F.col(f"`{text_col}`").cast("string")
     row = F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("row")
@@ -649,17 +750,16 @@ def repeated_passages(
     cells = loose.mapInArrow(_pairer(parts, bits), _CELL_KIND)
     paired = _chains(_matches(cells, parts), True, min_words, similarity)
     parts = _parts(chained.where("anchor is not null").union(paired), named, similarity)
-    packed = docs.select(row, F.struct(*(F.col(f"`{c}`") for c in own)).alias("all"))
-    whole = packed.join(_by_row(parts), "row", "left").select(
-        "all", F.col(f"all.`{text_col}`").cast("string").alias("text"), "parts"
-    )
-    kind = whole.schema["all"].dataType.simpleString()
+    rest = [F.col(f"`{c}`") for c in own if c != text_col] or [F.lit(None).cast("int").alias("none")]
+    packed = docs.select(row, F.struct(*rest).alias("rest"), text.alias("text"))
+    whole = packed.join(parts, "row", "left").select("rest", "text", "parts")
+    kind = whole.schema["rest"].dataType.simpleString()
     cleaned = whole.mapInArrow(
         _cleaner(min_words),
-        f"all {kind}, clean string, passages array<struct<start:int,end:int,same_as:array<bigint>>>",
+        f"rest {kind}, clean string, passages array<struct<start:int,end:int,same_as:array<bigint>>>",
     )
     fresh = {text_col: F.col("clean")}
     if "n_chars" in own:
-        length = F.coalesce(F.length("clean"), F.col("all.n_chars"))
+        length = F.coalesce(F.length("clean"), F.col("rest.n_chars"))
         fresh["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
-    return cleaned.select(*(fresh.get(c, F.col(f"all.`{c}`")).alias(c) for c in own), "passages")
+    return cleaned.select(*(fresh.get(c, F.col(f"rest.`{c}`")).alias(c) for c in own), "passages")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayledger.llm.words import pieces_of_batches
+from dayledger.session import bound_batches
 
 MIN_WORDS, MAX_REPEATED = 50, 50
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -211,6 +212,7 @@ def quality(
     repeated rows and ids get equal verdicts; no rows give no rows. ``path`` is the
     vocabulary file, at the same place on every executor.
     """
+    bound_batches(docs.sparkSession)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     place = docs.columns.index(text_col) if dict(docs.dtypes).get(text_col) == "string" else None

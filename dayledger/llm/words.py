@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -55,6 +56,66 @@ def hashes(words: list[str]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
+#: Is a byte part of a word? What parts words is below 128, so a text's UTF-8 need not be decoded.
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
+#: The first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bytes of a word that are hashed eight at a time for all words together.
+_LONG = 256
+
+
+class Words:
+    """Hashes of a column's words, without a Python object for each: text ``i`` has words ``ends[i]`` to ``ends[i + 1]``.
+
+    ``first`` and ``last`` are their places in ``data``, ``at`` those of the texts. These hashes are not those of ``hashes``.
+    """
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_string())
+        at = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+        n = int(at[-1] - at[0])
+        held = np.zeros(n + 8, np.uint8)
+        if n:
+            held[:n] = np.frombuffer(column.buffers()[2], np.uint8, n, int(at[0]))
+        self.at = at = at - at[0]
+        self.data = held[:n]
+        inside = _IN_WORD[self.data]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        begin, end = at[:-1][at[:-1] < at[1:]], at[1:][at[:-1] < at[1:]] - 1
+        first[begin], last[end] = inside[begin], inside[end]
+        self.first, self.last = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.ends = np.searchsorted(self.first, at)
+        eight = np.ndarray(n + 1, "<u8", held, strides=(1,))
+        size = self.last - self.first
+        h = mix((eight[self.first] & _FIRST[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * GOLDEN))
+        left = np.flatnonzero((size > 8) & (size <= _LONG))
+        for k in range(8, _LONG, 8):
+            left = left[size[left] > k]
+            if not len(left):
+                break
+            h[left] = mix(h[left] * GOLDEN + (eight[self.first[left] + k] & _FIRST[np.minimum(size[left] - k, 8)]))
+        for i in np.flatnonzero(size > _LONG).tolist():
+            h[i] = xxhash.xxh64_intdigest(self.data[self.first[i] : self.last[i]])
+        self.hashes = h
+
+    def of(self, i: int) -> np.ndarray:
+        return self.hashes[self.ends[i] : self.ends[i + 1]]
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of batches of about ``size`` bytes in a column of texts, a row at least: memory stays flat."""
+    for batch in batches:
+        at = np.concatenate(([0], np.cumsum(pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(), dtype=np.int64)))
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(at, at[start] + size, "right")) - 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def mix(z: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64; wraps around."""
     z = (z ^ (z >> _S30)) * _M1

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from oracle import difference
 from pyspark.sql import functions as F
@@ -299,6 +300,59 @@ def test_starts_found_together_are_the_best_ones():
         assert score[found[0], found[1]] == (best, found[2])
 
 
+def test_words_are_hashed_as_they_are_parted():
+    texts = ["", None, " a  b\tc\n", "x\x1cy  z a", "\U0001f600 caf\u00e9 \u4e2d", *(" ".join("ab" * n for n in range(k, k + 3)) for k in (2, 200))]
+    got = words.Words(pa.array(["not these", *texts]).slice(1))
+    seen = {}
+    for i, text in enumerate(texts):
+        own, h = words.words_of(text), got.of(i).tolist()
+        at = range(got.ends[i], got.ends[i + 1])
+        assert [got.data[got.first[k] : got.last[k]].tobytes().decode() for k in at] == own and len(h) == len(own)
+        assert all(seen.setdefault(w, v) == v for w, v in zip(own, h))
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_parts_of_a_document_come_in_one_row():
+    passage = prose(1, 120)
+    text = " ".join(prose(2, 30) + passage[:50] + prose(3, 100) + passage[60:] + prose(4, 30))
+    xs, ys = ([30, 40, 75], [180, 200, 235]), ([0, 10, 45], [60, 80, 115])
+    hits = [{"xs": x, "ys": y, "other_id": 7, "passage": " ".join(passage), "from": 0} for x, y in zip(xs, ys)]
+    hits.append({"xs": [1, 9], "ys": [], "other_id": None, "passage": "", "from": 0})
+    kind = pa.struct([("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32())), ("other_id", pa.int64()), ("passage", pa.string()), ("from", pa.int32())])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5, 6], pa.int64()), pa.array([text, "short"]), pa.array([hits, []], pa.list_(kind))], ["row", "text", "hits"]
+    )
+    (got,) = (r for b in passages._aligner(0.8)([batch]) for r in b.to_pylist())
+    assert got["row"] == 5
+    assert sorted((p["start"], p["end"], p["other_id"] or 0) for p in got["parts"]) == [(1, 9, 0), (30, 80, 7), (180, 240, 7)]
+
+
+def test_each_cut_document_gives_one_row_of_parts(spark, table, monkeypatch):
+    passage, seen = prose(8, 60), []
+    rows = table([(d, " ".join(prose(400 + d, 30) + passage + prose(500 + d, 30))) for d in range(30)])
+    joined = passages._parts
+
+    def watched(chained, named, similarity):
+        seen.append((chained.count(), joined(chained, named, similarity)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(passages, "_parts", watched)
+    assert passages.repeated_passages(rows).where("size(passages) > 0").count() == 29
+    ((n_chains, parts),) = seen
+    assert n_chains >= 29 and parts.count() == 29
+
+
+def test_batches_for_workers_are_bounded(spark, odd):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    corpus_pipeline.quality_rules(spark, odd, SMALL)
+    assert spark.conf.get(key) == "4m"
+    spark.conf.set(key, "16m")
+    passages.repeated_passages(odd.limit(0))
+    assert spark.conf.get(key) == "16m"
+    spark.conf.unset(key)
+
+
 def test_matches_travel_packed_and_sorted():
     draw = np.random.default_rng(1)
     key, place, first = (draw.integers(0, 1 << 40, 500).astype(np.uint64), *(draw.integers(0, 900, 500) for _ in "ab"))
