@@ -1,5 +1,6 @@
 """How much work a page and an event take: patterns compiled, texts searched, bytes moved."""
 
+import os
 import random
 import re
 
@@ -10,6 +11,12 @@ from test_extract import events, frame
 from dayledger.functions import markup, text
 from dayledger.operators import classify, legacy, modern, pieces, plaintext
 from dayledger.operators.classify import detect_format
+from dayledger.plans import corpus, jobs
+from dayledger.session import bound_splits, fresh_path
+from dayledger.sources import archive
+from dayledger.sources.ledger import Store
+
+SMALL = "/root/testdata/sf0.001"
 
 def test_no_pattern_is_compiled_for_each_event(spark):
     """``split`` compiles its pattern for every text, unless that is one character."""
@@ -70,3 +77,37 @@ def test_tags_that_show_only_after_decoding(spark):
     assert [r.html_format for r in found] == ["empty", "empty", "legacy", "legacy"]
     (event,) = events(spark, p.legacy_event("6").replace("<a ", "<A "))
     assert event["event_number"] == 6
+
+
+def test_stored_files_are_compressed(spark):
+    store = Store(fresh_path(spark, "store"))
+    pages = frame(spark, p.modern_page(p.modern_event("7")))
+    at = F.timestamp_seconds(F.lit(1))
+    archive.save_pages(pages, store.path("pages_raw"), "one", at, buckets=2)
+    jobs.extract_pages(store, archive.load_pages(spark, store.path("pages_raw")), "r1", at)
+    names = [f for _, _, files in os.walk(store.root) for f in files]
+    assert any(f.endswith(".zstd.parquet") or ".zstd." in f for f in names)
+    assert any(f.endswith(".json.gz") for f in names) and not any(f.endswith(".json") for f in names)
+    assert [r.event_number for r in store.events(spark).collect()] == [7]
+
+
+def test_rendering_deals_out_source_columns_only(spark):
+    """Fields of events are made above the exchanges, and lines of an order are dealt out once."""
+    plan = corpus.render_pages(corpus.source_events(spark, SMALL))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange") :]
+    assert "GE-" not in below and "030-" not in below
+    assert plan.count("Exchange hashpartitioning(event_number") == 1  # that of the lines; orders are few here
+
+
+def test_page_files_are_read_in_small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        bound_splits(spark)
+        assert spark.conf.get(key) == "16m"
+        spark.conf.set(key, "64m")
+        bound_splits(spark)
+        assert spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.set(key, before)
